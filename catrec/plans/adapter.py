@@ -25,6 +25,8 @@ PRIORITY_TYPES = {
     "4-NOT SPECIFIED": None,
 }
 DEFAULT_TABLE_TYPE = "MANAGED_TABLE"
+RENAMED_DATABASE = "NATION_0"
+RENAMED_DATABASE_TO = "hive_metastore"
 
 
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,18 +56,36 @@ def _table_type(priority: Column) -> Column:
     return expr.otherwise(F.lit(DEFAULT_TABLE_TYPE))
 
 
-def metastore_from_test_data(spark: SparkSession, sf_dir: str) -> Metastore:
+def metastore_from_test_data(spark: SparkSession, sf_dir: str, revision: int = 0) -> Metastore:
+    """Revision 0 is the catalogue as derived above.  Revision 1 is the same
+    catalogue one release later: low-priority open orders' tables renamed
+    (``_v2``), low-priority pending ones dropped, finished tables moved to an
+    archive location, comments edited (``signup`` params), column comments
+    re-derived with a stricter tax rule, and database ``NATION_0`` renamed to
+    the metastore's own name (so the name-keyed comparison sees two
+    containers with one name)."""
     t = lambda name: read_test_table(spark, sf_dir, name)
     nation, customer, orders = t("nation"), t("customer"), t("orders")
     lineitem, events = t("lineitem"), t("events")
 
-    dbs = nation.select(F.col("n_nationkey").cast("long").alias("DB_ID"), F.col("n_name").alias("NAME"))
+    updated = revision >= 1
+    db_name = F.col("n_name")
+    if updated:
+        db_name = F.when(db_name == RENAMED_DATABASE, F.lit(RENAMED_DATABASE_TO)).otherwise(db_name)
+    dbs = nation.select(F.col("n_nationkey").cast("long").alias("DB_ID"), db_name.alias("NAME"))
     day = F.unix_date(F.col("o_orderdate").cast("date")).cast("long")
-    tbls = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    low = F.col("o_orderpriority") == "5-LOW"
+    table_name = F.concat(F.lit("t"), F.col("o_orderkey").cast("string"))
+    if updated:
+        table_name = F.when(low & (F.col("o_orderstatus") == "O"), F.concat(table_name, F.lit("_v2"))).otherwise(table_name)
+        orders_now = orders.filter(~(low & (F.col("o_orderstatus") == "P")))
+    else:
+        orders_now = orders
+    tbls = orders_now.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("TBL_ID"),
         F.col("c_nationkey").cast("long").alias("DB_ID"),
         F.when(F.col("o_orderkey") % 97 == 0, F.lit(None).cast("long")).otherwise(F.col("o_orderkey")).alias("SD_ID"),
-        F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("TBL_NAME"),
+        table_name.alias("TBL_NAME"),
         _table_type(F.col("o_orderpriority")).alias("TBL_TYPE"),
         (day * 86400).alias("CREATE_TIME"),
         F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("select "), F.col("o_custkey").cast("string")))
@@ -75,6 +95,8 @@ def metastore_from_test_data(spark: SparkSession, sf_dir: str) -> Metastore:
     sds = orders.select(
         F.col("o_orderkey").alias("SD_ID"), F.col("o_orderkey").alias("CD_ID"),
         F.when(F.col("o_orderkey") % 5 == 0, F.lit(None).cast("string"))
+        .when(F.lit(updated) & (F.col("o_orderstatus") == "F"),
+              F.concat(F.lit("s3://archive/t"), F.col("o_orderkey").cast("string")))
         .otherwise(F.concat(F.lit("s3://b/t"), F.col("o_orderkey").cast("string"))).alias("LOCATION"),
     )
     columns = lineitem.filter(F.col("l_returnflag") != "R").select(
@@ -82,7 +104,8 @@ def metastore_from_test_data(spark: SparkSession, sf_dir: str) -> Metastore:
         _line_name("c").alias("COLUMN_NAME"),
         _type_name(F.col("l_suppkey")).alias("TYPE_NAME"),
         F.col("l_linenumber").alias("INTEGER_IDX"),
-        F.when(F.col("l_tax") > 0.04, F.lit(None).cast("string")).otherwise(F.col("l_linestatus")).alias("COMMENT"),
+        F.when(F.col("l_tax") > (0.06 if updated else 0.04), F.lit(None).cast("string"))
+        .otherwise(F.col("l_linestatus")).alias("COMMENT"),
     )
     partition_keys = lineitem.filter(F.col("l_returnflag") == "R").select(
         F.col("l_orderkey").alias("TBL_ID"),
@@ -96,6 +119,8 @@ def metastore_from_test_data(spark: SparkSession, sf_dir: str) -> Metastore:
         F.when(F.col("event_type") == "signup", F.lit("comment"))
         .when(F.col("event_type") == "error", F.lit("table_type"))
         .otherwise(F.col("event_type")).alias("PARAM_KEY"),
-        F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("props")).alias("PARAM_VALUE"),
+        F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string"))
+        .when(F.lit(updated) & (F.col("event_type") == "signup"), F.concat(F.col("props"), F.lit(" (updated)")))
+        .otherwise(F.col("props")).alias("PARAM_VALUE"),
     )
     return Metastore(dbs=dbs, tbls=tbls, sds=sds, columns=columns, partition_keys=partition_keys, table_params=params)

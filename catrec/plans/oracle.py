@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from string import Template
 
 from catrec.functions.fields import SCHEMA_TYPE_PREFIX
@@ -30,27 +31,41 @@ def _type_case(column: str) -> str:
     )
 
 
-ADAPTER_CTES = f"""
-DBS AS (SELECT CAST(n_nationkey AS BIGINT) AS DB_ID, n_name AS NAME FROM nation),
+def adapter_ctes(revision: int = 0) -> str:
+    """The metastore relations derived from the test tables (see adapter.py)."""
+    updated = revision >= 1
+    db_name = "CASE WHEN n_name = 'NATION_0' THEN 'hive_metastore' ELSE n_name END" if updated else "n_name"
+    table_name = "concat('t', CAST(o_orderkey AS VARCHAR))"
+    orders_now = "orders"
+    if updated:
+        table_name = (f"CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'O' "
+                      f"THEN {table_name} || '_v2' ELSE {table_name} END")
+        orders_now = "(SELECT * FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P'))"
+    archive = ("WHEN o_orderstatus = 'F' THEN concat('s3://archive/t', CAST(o_orderkey AS VARCHAR)) "
+               if updated else "")
+    tax = "0.06" if updated else "0.04"
+    signup = "WHEN event_type = 'signup' THEN props || ' (updated)' " if updated else ""
+    return f"""
+DBS AS (SELECT CAST(n_nationkey AS BIGINT) AS DB_ID, {db_name} AS NAME FROM nation),
 TBLS AS (
   SELECT o_orderkey AS TBL_ID, CAST(c_nationkey AS BIGINT) AS DB_ID,
     CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderkey END AS SD_ID,
-    concat('t', CAST(o_orderkey AS VARCHAR)) AS TBL_NAME,
+    {table_name} AS TBL_NAME,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'EXTERNAL_TABLE' WHEN '2-HIGH' THEN 'VIRTUAL_VIEW'
       WHEN '3-MEDIUM' THEN 'MATERIALIZED_VIEW' WHEN '4-NOT SPECIFIED' THEN NULL ELSE 'MANAGED_TABLE' END AS TBL_TYPE,
     CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) * 86400 AS CREATE_TIME,
     CASE WHEN o_orderstatus = 'F' THEN concat('select ', CAST(o_custkey AS VARCHAR)) END AS VIEW_EXPANDED_TEXT,
     CASE WHEN o_orderstatus <> 'O' THEN 'select 1' END AS VIEW_ORIGINAL_TEXT
-  FROM orders JOIN customer ON o_custkey = c_custkey),
+  FROM {orders_now} o JOIN customer ON o_custkey = c_custkey),
 SDS AS (
   SELECT o_orderkey AS SD_ID, o_orderkey AS CD_ID,
-    CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE concat('s3://b/t', CAST(o_orderkey AS VARCHAR)) END AS LOCATION
+    CASE WHEN o_orderkey % 5 = 0 THEN NULL {archive}ELSE concat('s3://b/t', CAST(o_orderkey AS VARCHAR)) END AS LOCATION
   FROM orders),
 COLUMNS_V2 AS (
   SELECT l_orderkey AS CD_ID,
     concat('c', CAST(l_linenumber AS VARCHAR), '_', CAST(l_partkey AS VARCHAR), '_', CAST(l_suppkey AS VARCHAR)) AS COLUMN_NAME,
     {_type_case('l_suppkey')} AS TYPE_NAME, l_linenumber AS INTEGER_IDX,
-    CASE WHEN l_tax > 0.04 THEN NULL ELSE l_linestatus END AS COMMENT
+    CASE WHEN l_tax > {tax} THEN NULL ELSE l_linestatus END AS COMMENT
   FROM lineitem WHERE l_returnflag <> 'R'),
 PARTITION_KEYS AS (
   SELECT l_orderkey AS TBL_ID,
@@ -60,10 +75,13 @@ PARTITION_KEYS AS (
 TABLE_PARAMS AS (
   SELECT user_id AS TBL_ID,
     CASE event_type WHEN 'signup' THEN 'comment' WHEN 'error' THEN 'table_type' ELSE event_type END AS PARAM_KEY,
-    CASE WHEN event_id % 11 = 0 THEN NULL ELSE props END AS PARAM_VALUE
+    CASE WHEN event_id % 11 = 0 THEN NULL {signup}ELSE props END AS PARAM_VALUE
   FROM events)"""
 
 
+ADAPTER_CTES = adapter_ctes(0)
+
+
 def _number_rule(t: str) -> str:
     return f"regexp_matches(lower({t}), '^(tinyint|smallint|int|bigint|float|double|decimal)')"
 
@@ -209,7 +227,7 @@ CUSTOM AS (
     END AS CUSTOM_DOC
   FROM ENRICHED e),
 ROOT_EVENTS AS (
-  SELECT 'container' AS entity_type, $root AS entity_urn, aspect_name, aspect_value FROM (VALUES
+  SELECT 'container' AS entity_type, $root AS entity_urn, aspect_name, aspect_value, 0 AS src FROM (VALUES
     ('containerProperties', $cp_prefix || '},"name":' || $metastore_json || ',"env":' || $env_json || '}'),
     ('status', '{"removed":false}'),
     ('subTypes', '{"typeNames":["Database"]}'),
@@ -220,7 +238,7 @@ SCHEMA_URNS AS (
                                           ELSE $guid_prefix || to_json(NAME) || '}' END) AS URN
   FROM X_DBS),
 SCHEMA_EVENTS AS (
-  SELECT 'container' AS entity_type, URN AS entity_urn, aspect_name, aspect_value FROM (
+  SELECT 'container' AS entity_type, URN AS entity_urn, aspect_name, aspect_value, 1 AS src FROM (
     SELECT URN, 'container' AS aspect_name, '{"container":' || $root_json || '}' AS aspect_value FROM SCHEMA_URNS
     UNION ALL SELECT URN, 'containerProperties', $cp_prefix || ',"schema":' || coalesce(to_json(NAME), 'null') || '}'
       || coalesce(',"name":' || to_json(NAME), '') || ',"env":' || $env_json || '}' FROM SCHEMA_URNS
@@ -229,7 +247,7 @@ SCHEMA_EVENTS AS (
     UNION ALL SELECT URN, 'dataPlatformInstance', $dpi FROM SCHEMA_URNS
     UNION ALL SELECT URN, 'browsePathsV2', $schema_path FROM SCHEMA_URNS)),
 DATASET_EVENTS AS (
-  SELECT 'dataset' AS entity_type, URN AS entity_urn, aspect_name, aspect_value FROM (
+  SELECT 'dataset' AS entity_type, URN AS entity_urn, aspect_name, aspect_value, 2 AS src FROM (
     SELECT URN, 'datasetProperties' AS aspect_name,
       '{' || concat_ws(',', '"name":' || to_json(TBL_NAME),
         CASE WHEN NOT IS_VIEW THEN '"description":' || to_json(COMMENT_PARAM) END,
@@ -251,7 +269,7 @@ VIEW_EVENTS AS (
   SELECT 'dataset' AS entity_type, URN AS entity_urn, 'viewProperties' AS aspect_name,
     '{"materialized":' || CASE WHEN TBL_TYPE = 'MATERIALIZED_VIEW' THEN 'true' ELSE 'false' END
     || ',"viewLanguage":"SQL","viewLogic":'
-    || to_json(coalesce(VIEW_EXPANDED_TEXT, VIEW_ORIGINAL_TEXT, '')) || '}' AS aspect_value
+    || to_json(coalesce(VIEW_EXPANDED_TEXT, VIEW_ORIGINAL_TEXT, '')) || '}' AS aspect_value, 2 AS src
   FROM ENRICHED WHERE IS_VIEW),
 ALL_EVENTS AS (
   SELECT * FROM ROOT_EVENTS UNION ALL SELECT * FROM SCHEMA_EVENTS
@@ -266,8 +284,25 @@ def catalogue_ctes(o: CatalogueOptions) -> str:
     return body
 
 
+_CTE_NAMES = (
+    "DBS", "TBLS", "SDS", "COLUMNS_V2", "PARTITION_KEYS", "TABLE_PARAMS", "X_DBS", "BASE", "FIELD_ROWS",
+    "FIELD_JSON", "FIELDS", "PARAM_DEDUP", "PARAMS", "PARTS", "ENRICHED", "CUSTOM", "ROOT_EVENTS",
+    "SCHEMA_URNS", "SCHEMA_EVENTS", "DATASET_EVENTS", "VIEW_EVENTS", "ALL_EVENTS",
+)
+_CTE_PATTERN = re.compile(r"\b(" + "|".join(_CTE_NAMES) + r")\b")
+
+
+def prefixed(sql: str, prefix: str) -> str:
+    """Rename every catalogue CTE (and its references) with ``prefix``."""
+    return _CTE_PATTERN.sub(lambda m: prefix + m.group(1), sql) if prefix else sql
+
+
+def catalogue_block(o: CatalogueOptions, revision: int = 0, prefix: str = "") -> str:
+    return prefixed(adapter_ctes(revision) + "," + catalogue_ctes(o), prefix)
+
+
 def with_catalogue(o: CatalogueOptions, select: str) -> str:
-    return "WITH " + ADAPTER_CTES + "," + catalogue_ctes(o) + "\n" + select
+    return "WITH " + catalogue_block(o) + "\n" + select
 
 
 def with_adapter(select: str) -> str:
@@ -335,4 +370,128 @@ def oracle_queries() -> dict[str, str]:
         "normalized_values": (
             "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN strftime(ts, '%f') = '000000' THEN '' "
             "ELSE '.' || strftime(ts, '%f') END AS ts, user_id, event_type, value, props, props AS props_bytes FROM events"),
+        **oracle_queries_more(),
+    }
+
+
+SUPPORTED_SQL = ("('containerProperties', 'datasetProperties', 'schemaMetadata', 'status', "
+                 "'container', 'ownership', 'subTypes', 'viewProperties')")
+
+
+def _index_ctes(p: str, o: CatalogueOptions) -> str:
+    """Normalised index of one side (prefix ``p``): entity keyed by container
+    name, canonical schema fields, last record (highest source) wins."""
+    platform = _q(json.dumps(o.platform_urn))
+    return f"""
+{p}NAMES AS (
+  SELECT entity_urn AS urn, arg_max('container:' || json_extract_string(aspect_value, '$.name'), src) AS name_key
+  FROM {p}ALL_EVENTS WHERE aspect_name = 'containerProperties'
+    AND coalesce(json_extract_string(aspect_value, '$.name'), '') <> '' GROUP BY entity_urn),
+{p}SCHEMA_CANON AS (
+  SELECT b.URN, '{{"fields":[' || coalesce(string_agg('{{"description":' || to_json(coalesce(f.DESCRIPTION, ''))
+      || ',"fieldPath":' || to_json(f.FIELD_PATH) || ',"nativeDataType":' || to_json(lower(coalesce(f.NATIVE_TYPE, '')))
+      || ',"nullable":true}}', ',' ORDER BY f.FIELD_PATH, f.POS ASC NULLS FIRST, f.FIELD_NAME ASC NULLS FIRST,
+        f.NATIVE_TYPE ASC NULLS FIRST, f.DESCRIPTION ASC NULLS FIRST, f.IS_PARTITION ASC NULLS FIRST), '')
+      || '],"platform":' || {platform}
+      || ',"schemaName":' || to_json(b.DATASET_NAME) || '}}' AS canonical
+  FROM {p}BASE b LEFT JOIN {p}FIELD_JSON f ON b.TBL_ID = f.TBL_ID GROUP BY b.URN, b.DATASET_NAME),
+{p}KEYED AS (
+  SELECT coalesce(n.name_key, e.entity_urn) AS entity, e.aspect_name AS aspect, e.src,
+    CASE WHEN e.aspect_name = 'container'
+           THEN '{{"container":' || to_json(coalesce(r.name_key, json_extract_string(e.aspect_value, '$.container'))) || '}}'
+         WHEN e.aspect_name = 'schemaMetadata' THEN s.canonical
+         ELSE e.aspect_value END AS canonical
+  FROM {p}ALL_EVENTS e
+  LEFT JOIN {p}NAMES n ON e.entity_urn = n.urn
+  LEFT JOIN {p}NAMES r ON e.aspect_name = 'container' AND json_extract_string(e.aspect_value, '$.container') = r.urn
+  LEFT JOIN {p}SCHEMA_CANON s ON e.aspect_name = 'schemaMetadata' AND e.entity_urn = s.URN
+  WHERE e.aspect_name IN {SUPPORTED_SQL}),
+{p}IDX AS (
+  SELECT entity, aspect, arg_max(canonical, src) AS canonical, count(DISTINCT canonical) > 1 AS conflicting
+  FROM {p}KEYED GROUP BY entity, aspect)"""
+
+
+def _exact_index_ctes(p: str) -> str:
+    return f"""
+{p}IDX AS (
+  SELECT entity_urn AS entity, aspect_name AS aspect, arg_max(aspect_value, src) AS canonical,
+    count(DISTINCT aspect_value) > 1 AS conflicting
+  FROM {p}ALL_EVENTS GROUP BY entity_urn, aspect_name)"""
+
+
+_PAIRS = """
+PAIRS AS (
+  SELECT coalesce(b.entity, c.entity) AS entity, coalesce(b.aspect, c.aspect) AS aspect,
+    b.canonical AS expected, c.canonical AS actual, b.conflicting AS bc, c.conflicting AS cc
+  FROM B_IDX b FULL OUTER JOIN C_IDX c ON b.entity = c.entity AND b.aspect = c.aspect)"""
+
+_SUMMARY = """
+SELECT baseline_aspects, candidate_aspects, missing_in_candidate, extra_in_candidate, different_aspects,
+  baseline_duplicates, candidate_duplicates,
+  (missing_in_candidate + extra_in_candidate + different_aspects + baseline_duplicates + candidate_duplicates) = 0 AS equal
+FROM (SELECT count(expected) AS baseline_aspects, count(actual) AS candidate_aspects,
+  count(*) FILTER (WHERE expected IS NOT NULL AND actual IS NULL) AS missing_in_candidate,
+  count(*) FILTER (WHERE actual IS NOT NULL AND expected IS NULL) AS extra_in_candidate,
+  count(*) FILTER (WHERE expected <> actual) AS different_aspects,
+  count(*) FILTER (WHERE bc) AS baseline_duplicates, count(*) FILTER (WHERE cc) AS candidate_duplicates
+  FROM PAIRS)"""
+
+# Leaves that differ: nodes whose parent is an object on both sides (reached
+# through objects only, never through an array) and that are not objects on
+# both sides themselves (json_tree walks each document).
+_DIFFERENCES = """,
+DIFF AS (SELECT entity, aspect, expected, actual FROM PAIRS WHERE expected <> actual),
+E AS (SELECT d.entity, d.aspect, t.fullkey, t.path AS parent, t.type, t.value FROM DIFF d, json_tree(d.expected) t),
+A AS (SELECT d.entity, d.aspect, t.fullkey, t.path AS parent, t.type, t.value FROM DIFF d, json_tree(d.actual) t),
+N AS (
+  SELECT coalesce(e.entity, a.entity) AS entity, coalesce(e.aspect, a.aspect) AS aspect,
+    coalesce(e.fullkey, a.fullkey) AS fullkey, coalesce(e.parent, a.parent) AS parent,
+    e.type AS e_type, a.type AS a_type, e.value AS e_val, a.value AS a_val
+  FROM E e FULL OUTER JOIN A a ON e.entity = a.entity AND e.aspect = a.aspect AND e.fullkey = a.fullkey),
+OBJ AS (SELECT entity, aspect, fullkey FROM N
+        WHERE e_type = 'OBJECT' AND a_type = 'OBJECT' AND NOT contains(fullkey, '['))
+SELECT n.entity, n.aspect, CASE WHEN n.fullkey = '$' THEN '$' ELSE substr(n.fullkey, 3) END AS path,
+  coalesce(n.e_val, '"<missing>"') AS expected, coalesce(n.a_val, '"<missing>"') AS actual
+FROM N n LEFT JOIN OBJ o ON n.entity = o.entity AND n.aspect = o.aspect AND n.parent = o.fullkey
+WHERE NOT coalesce(n.e_type = 'OBJECT' AND n.a_type = 'OBJECT', FALSE)
+  AND (n.fullkey = '$' OR o.fullkey IS NOT NULL)
+  AND (n.e_val IS NULL OR n.a_val IS NULL OR n.e_val <> n.a_val)"""
+
+
+def reconcile_sql(o: CatalogueOptions, select: str, exact: bool = False) -> str:
+    index = (_exact_index_ctes("B_") + "," + _exact_index_ctes("C_")) if exact else (
+        _index_ctes("B_", o) + "," + _index_ctes("C_", o))
+    return ("WITH " + catalogue_block(o, 0, "B_") + "," + catalogue_block(o, 1, "C_") + "," + index + ","
+            + _PAIRS + select)
+
+
+def record_text_sql() -> str:
+    return ("'{\"entityType\":' || to_json(entity_type) || ',\"entityUrn\":' || to_json(entity_urn) "
+            "|| ',\"changeType\":\"UPSERT\",\"aspectName\":' || to_json(aspect_name) "
+            "|| ',\"aspect\":{\"value\":' || to_json(aspect_value) || ',\"contentType\":\"application/json\"}}'")
+
+
+def oracle_queries_more() -> dict[str, str]:
+    from catrec.plans.registry import QUERY_OPTIONS, SIZING_LIMIT
+
+    o = QUERY_OPTIONS
+    cat = lambda select: with_catalogue(o, select)
+    return {
+        "run_summary": cat(
+            "SELECT count(*) FILTER (WHERE aspect_name = 'containerProperties') - 1 AS databases, "
+            "count(*) FILTER (WHERE aspect_name = 'datasetProperties') AS tables, count(*) AS mcps FROM ALL_EVENTS"),
+        "output_sizing": cat(
+            f"SELECT records, total_bytes, greatest(1, CAST(ceil(total_bytes / {SIZING_LIMIT}) AS BIGINT)) AS files FROM ("
+            f"SELECT count(*) AS records, CAST(sum(octet_length(encode({record_text_sql()})) + 2) AS BIGINT) AS total_bytes "
+            "FROM ALL_EVENTS)"),
+        "flatten_records": cat(
+            "SELECT entity_type, entity_urn AS urn, aspect_name, aspect_value AS aspect FROM ALL_EVENTS"),
+        "reconcile_summary": reconcile_sql(o, _SUMMARY),
+        "reconcile_missing": reconcile_sql(o, "\nSELECT entity, aspect FROM PAIRS WHERE actual IS NULL"),
+        "reconcile_extra": reconcile_sql(o, "\nSELECT entity, aspect FROM PAIRS WHERE expected IS NULL"),
+        "reconcile_differences": reconcile_sql(o, _DIFFERENCES),
+        "reconcile_duplicates": reconcile_sql(
+            o, "\nSELECT 'baseline' AS side, entity, aspect FROM PAIRS WHERE bc "
+               "UNION ALL SELECT 'candidate' AS side, entity, aspect FROM PAIRS WHERE cc"),
+        "reconcile_exact_summary": reconcile_sql(o, _SUMMARY, exact=True),
     }

@@ -18,6 +18,9 @@ from catrec.functions.values import normalize_row_values
 from catrec.operators import catalogue as C
 from catrec.operators import events as E
 from catrec.operators.gates import duplicate_keys
+from catrec.operators.reconcile import Diff, diff_records
+from catrec.sinks.records import encoded_size, record_json
+from catrec.sources.records import flatten_records, parse_envelope_lines, records_from_events
 from catrec.plans.adapter import metastore_from_test_data, read_test_table
 from catrec.options import CatalogueOptions
 
@@ -155,6 +158,89 @@ def q_normalized_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_row_values(with_bytes)
 
 
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
+    return events.agg(
+        (F.count(F.when(F.col("aspectName") == "containerProperties", 1)) - 1).alias("databases"),
+        F.count(F.when(F.col("aspectName") == "datasetProperties", 1)).alias("tables"),
+        F.count(F.lit(1)).alias("mcps"),
+    )
+
+
+def q_output_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = record_json(_events(spark, sf_dir))
+    totals = values.agg(F.count(F.lit(1)).alias("records"), F.sum(encoded_size()).alias("total_bytes"))
+    return totals.select(
+        "records", "total_bytes",
+        F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total_bytes") / F.lit(SIZING_LIMIT)).cast("long")).alias("files"),
+    )
+
+
+# Class-name package used when re-packing dataset aspects into bundles.
+BUNDLE_CLASS = "com.linkedin.pegasus2avro.metadata.snapshot.DatasetSnapshot"
+ASPECT_CLASS_PREFIX = "com.linkedin.pegasus2avro.aspect."
+
+
+def _quoted(value):
+    return F.regexp_replace(F.to_json(F.array(value)), r"^\[|\]$", "")
+
+
+def record_envelopes(events: DataFrame) -> DataFrame:
+    """The records as JSON text in two shapes: container records as flat
+    change records (value wrapped), dataset records re-packed per entity
+    into one bundle each.  One row per JSON object, column ``line``."""
+    flat = events.filter(F.col("entityType") != "dataset").select(
+        F.to_json(F.struct(*[F.col(c) for c in E.RECORD_COLUMNS])).alias("line"))
+    name = F.col("aspectName")
+    cls = F.concat(F.lit(ASPECT_CLASS_PREFIX), F.upper(F.substring(name, 1, 1)), F.substring(name, 2, 1 << 30))
+    wrapped = F.concat(F.lit("{"), _quoted(cls), F.lit(":"), F.col("aspect.value"), F.lit("}"))
+    per_entity = events.filter(F.col("entityType") == "dataset").groupBy("entityUrn").agg(
+        F.sort_array(F.collect_list(F.struct(name.alias("n"), wrapped.alias("w")))).alias("items"))
+    bundles = per_entity.select(F.concat(
+        F.lit('{"proposedSnapshot":{"' + BUNDLE_CLASS + '":{"urn":'), _quoted(F.col("entityUrn")),
+        F.lit(',"aspects":['), F.array_join(F.transform("items", lambda x: x["w"]), ","), F.lit("]}}}"),
+    ).alias("line"))
+    return flat.unionByName(bundles)
+
+
+def q_flatten_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    envelopes = parse_envelope_lines(record_envelopes(_events(spark, sf_dir)))
+    return flatten_records(envelopes).select("entity_type", "urn", "aspect_name", "aspect")
+
+
+def reconcile_test_data(spark: SparkSession, sf_dir: str, mode: str = "default") -> Diff:
+    """Catalogue revision 0 (baseline) against revision 1 (candidate)."""
+    def records(revision: int) -> DataFrame:
+        m = metastore_from_test_data(spark, sf_dir, revision)
+        return records_from_events(E.catalogue_events(spark, m, QUERY_OPTIONS))
+
+    return diff_records(records(0), records(1), mode=mode)
+
+
+def q_reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_test_data(spark, sf_dir).summary
+
+
+def q_reconcile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_test_data(spark, sf_dir).missing
+
+
+def q_reconcile_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_test_data(spark, sf_dir).extra
+
+
+def q_reconcile_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_test_data(spark, sf_dir).differences
+
+
+def q_reconcile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_test_data(spark, sf_dir).duplicates
+
+
+def q_reconcile_exact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_test_data(spark, sf_dir, mode="exact").summary
+
+
 QUERIES: dict[str, Query] = {
     "database_filter": q_database_filter,
     "duplicate_keys": q_duplicate_keys,
@@ -172,4 +258,13 @@ QUERIES: dict[str, Query] = {
     "aspect_counts": q_aspect_counts,
     "encoded_urns": q_encoded_urns,
     "normalized_values": q_normalized_values,
+    "run_summary": q_run_summary,
+    "output_sizing": q_output_sizing,
+    "flatten_records": q_flatten_records,
+    "reconcile_summary": q_reconcile_summary,
+    "reconcile_missing": q_reconcile_missing,
+    "reconcile_extra": q_reconcile_extra,
+    "reconcile_differences": q_reconcile_differences,
+    "reconcile_duplicates": q_reconcile_duplicates,
+    "reconcile_exact_summary": q_reconcile_exact_summary,
 }
