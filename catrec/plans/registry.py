@@ -22,6 +22,7 @@ from catrec.operators.reconcile import Diff, diff_records
 from catrec.sinks.records import encoded_size, record_json
 from catrec.sources.records import flatten_records, parse_envelope_lines, records_from_events
 from catrec.plans.adapter import metastore_from_test_data, read_test_table
+from catrec.plans.materialize import materialize
 from catrec.options import CatalogueOptions
 
 # Options of the registered queries: the settings of the reference's own
@@ -211,8 +212,10 @@ def q_flatten_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reconcile_test_data(spark: SparkSession, sf_dir: str, mode: str = "default") -> Diff:
     """Catalogue revision 0 (baseline) against revision 1 (candidate)."""
     def records(revision: int) -> DataFrame:
+        # Each record set feeds two jobs (container names, index): it is
+        # written once to the checkpoint folder instead of being rebuilt.
         m = metastore_from_test_data(spark, sf_dir, revision)
-        return records_from_events(E.catalogue_events(spark, m, QUERY_OPTIONS))
+        return materialize(records_from_events(E.catalogue_events(spark, m, QUERY_OPTIONS)))
 
     return diff_records(records(0), records(1), mode=mode)
 

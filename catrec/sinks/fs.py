@@ -60,14 +60,20 @@ def write_bytes(spark: SparkSession, path: str, data: bytes, overwrite: bool = F
         stream.close()
 
 
-def read_head(spark: SparkSession, path: str, size: int = 4096) -> bytes:
-    """First bytes of a file (used to tell JSON arrays from JSON lines)."""
+def first_non_blank(spark: SparkSession, path: str, limit: int = 4096) -> str:
+    """First non-whitespace character of a file ('' when none in ``limit``
+    bytes); used to tell JSON arrays from JSON lines."""
     fs, hpath = _filesystem(spark, path)
     stream = fs.open(hpath)
     try:
-        buf = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.byte, size)
-        n = stream.read(buf)
-        return bytes(buf[:n]) if n and n > 0 else b""
+        for _ in range(limit):
+            value = stream.read()
+            if value < 0:
+                return ""
+            char = chr(value)
+            if not char.isspace():
+                return char
+        return ""
     finally:
         stream.close()
 
