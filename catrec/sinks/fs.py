@@ -60,20 +60,24 @@ def write_bytes(spark: SparkSession, path: str, data: bytes, overwrite: bool = F
         stream.close()
 
 
-def first_non_blank(spark: SparkSession, path: str, limit: int = 4096) -> str:
-    """First non-whitespace character of a file ('' when none in ``limit``
-    bytes); used to tell JSON arrays from JSON lines."""
+def head_text(spark: SparkSession, path: str, size: int = 16) -> str:
+    """First ``size`` bytes of a file after leading whitespace, as text
+    (enough to tell JSON lines, line-per-element arrays and other arrays
+    apart)."""
     fs, hpath = _filesystem(spark, path)
     stream = fs.open(hpath)
     try:
-        for _ in range(limit):
+        out = bytearray()
+        skipped = 0
+        while len(out) < size and skipped < 4096:
             value = stream.read()
             if value < 0:
-                return ""
-            char = chr(value)
-            if not char.isspace():
-                return char
-        return ""
+                break
+            if not out and chr(value).isspace():
+                skipped += 1
+                continue
+            out.append(value)
+        return out.decode("utf-8", "ignore")
     finally:
         stream.close()
 
