@@ -2,8 +2,9 @@
 
 Plan shape (all joins are equi-joins, Catalyst/AQE pick the strategy):
 
-* ``base_tables``: TBLS ⋈ DBS (databases are few; AQE broadcasts them when
-  their measured size is under the broadcast threshold) ⟕ SDS on SD_ID.
+* ``base_tables``: TBLS ⋈ DBS (databases are few; the planner broadcasts
+  them when their size is under the broadcast threshold) ⟕ SDS on SD_ID
+  (merge join: one storage descriptor per table).
 * ``column_fields``: COLUMNS_V2 grouped on CD_ID -> array of sortable
   structs.  Grouping on CD_ID (not TBL_ID) means the column rows are never
   joined before they are aggregated, so only one row per storage
@@ -76,7 +77,9 @@ def base_tables(m: Metastore, o: CatalogueOptions) -> DataFrame:
         "TBL_ID", "DB_ID", "SD_ID", "TBL_NAME", "TBL_TYPE", "CREATE_TIME",
         "VIEW_EXPANDED_TEXT", "VIEW_ORIGINAL_TEXT",
     )
-    sds = m.sds.select("SD_ID", "CD_ID", "LOCATION")
+    # Storage descriptors are one per table: a merge join, like the table
+    # side.  Databases are few and may be broadcast by the planner.
+    sds = m.sds.select("SD_ID", "CD_ID", "LOCATION").hint("merge")
     dataset_name = F.concat_ws(".", F.col("NAME"), F.col("TBL_NAME"))
     return (
         tbls.join(dbs, "DB_ID", "inner")
@@ -157,10 +160,13 @@ def enrich(m: Metastore, o: CatalogueOptions, base: DataFrame | None = None) ->
     PARTITIONED_COLUMNS."""
     base = base if base is not None else base_tables(m, o)
     empty_items = F.array().cast(f"array<{_FIELD_ITEM}>")
+    # The per-table aggregates grow with the catalogue: they are joined as
+    # sort-merge joins on keys they are already partitioned by, never
+    # broadcast from a (possibly low) size estimate.
     joined = (
-        base.join(column_fields(m), "CD_ID", "left")
-        .join(partition_info(m), "TBL_ID", "left")
-        .join(table_params(m), "TBL_ID", "left")
+        base.join(column_fields(m).hint("merge"), "CD_ID", "left")
+        .join(partition_info(m).hint("merge"), "TBL_ID", "left")
+        .join(table_params(m).hint("merge"), "TBL_ID", "left")
     )
     items = F.concat(
         F.coalesce(F.col("COLUMN_ITEMS"), empty_items),
