@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The catalogue transform, the snapshot dump and the reconciliation are
+batch jobs over point-in-time snapshots; the reference has no stream,
+watermark, window or stateful operator, so none is added here.
+"""
