@@ -26,8 +26,15 @@ def checkpoint_dir(df: DataFrame) -> str | None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    if checkpoint_dir(df):
-        return df.checkpoint(eager=True)
+    """Compute ``df`` once and return a DataFrame reading the stored result.
+
+    The data is cached while the checkpoint is written: a reliable checkpoint
+    otherwise runs the plan a second time to write the files.
+    """
     persisted = df.persist(StorageLevel.MEMORY_AND_DISK)
-    persisted.count()
-    return persisted
+    if not checkpoint_dir(df):
+        persisted.count()
+        return persisted
+    checkpointed = persisted.checkpoint(eager=True)
+    persisted.unpersist()
+    return checkpointed
