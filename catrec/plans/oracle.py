@@ -120,13 +120,13 @@ def field_path_sql(name: str, t: str) -> str:
     return f"'[version=2.0].[type=' || {avro_type_sql(t)} || '].' || {name}"
 
 
-def _guid(o: CatalogueOptions, schema: bool) -> str:
+def _guid(o: CatalogueOptions) -> str:
     doc = {"database": o.metastore_name, "instance": o.instance_key, "platform": o.platform}
     return json.dumps(doc, separators=(",", ":"), ensure_ascii=False)
 
 
 def root_urn_value(o: CatalogueOptions) -> str:
-    return "urn:li:container:" + hashlib.md5(_guid(o, False).encode("utf-8")).hexdigest()
+    return "urn:li:container:" + hashlib.md5(_guid(o).encode("utf-8")).hexdigest()
 
 
 def _sql_params(o: CatalogueOptions) -> dict[str, str]:
@@ -142,14 +142,14 @@ def _sql_params(o: CatalogueOptions) -> dict[str, str]:
         cp.append(("instance", o.platform_instance))
     cp += [("env", o.env_upper), ("database", o.metastore_name)]
     cp_text = ",".join(f"{json.dumps(k)}:{json.dumps(v)}" for k, v in cp)
-    guid_prefix = _guid(o, True)[:-1] + ',"schema":'
+    guid_prefix = _guid(o)[:-1] + ',"schema":'
     return {
         "pattern": _q(o.database_pattern),
         "tz": _q(o.source_timezone),
         "root": _q(root),
         "root_json": _q(json.dumps(root)),
         "guid_prefix": _q(guid_prefix),
-        "guid_plain": _q(_guid(o, False)),
+        "guid_plain": _q(_guid(o)),
         "urn_prefix": _q(f"urn:li:dataset:({o.platform_urn}," + (f"{o.platform_instance}." if o.platform_instance else "")),
         "urn_suffix": _q(f",{o.env_upper})"),
         "platform_urn_json": _q(json.dumps(o.platform_urn)),
