@@ -378,7 +378,7 @@ SUPPORTED_SQL = ("('containerProperties', 'datasetProperties', 'schemaMetadata',
                  "'container', 'ownership', 'subTypes', 'viewProperties')")
 
 
-def _index_ctes(p: str, o: CatalogueOptions) -> str:
+def _index_ctes(p: str, o: CatalogueOptions, strict: bool = False) -> str:
     """Normalised index of one side (prefix ``p``): entity keyed by container
     name, canonical schema fields, last record (highest source) wins."""
     platform = _q(json.dumps(o.platform_urn))
@@ -405,7 +405,7 @@ def _index_ctes(p: str, o: CatalogueOptions) -> str:
   LEFT JOIN {p}NAMES n ON e.entity_urn = n.urn
   LEFT JOIN {p}NAMES r ON e.aspect_name = 'container' AND json_extract_string(e.aspect_value, '$.container') = r.urn
   LEFT JOIN {p}SCHEMA_CANON s ON e.aspect_name = 'schemaMetadata' AND e.entity_urn = s.URN
-  WHERE e.aspect_name IN {SUPPORTED_SQL}),
+  {"" if strict else "WHERE e.aspect_name IN " + SUPPORTED_SQL}),
 {p}IDX AS (
   SELECT entity, aspect, arg_max(canonical, src) AS canonical, count(DISTINCT canonical) > 1 AS conflicting
   FROM {p}KEYED GROUP BY entity, aspect)"""
@@ -458,9 +458,9 @@ WHERE NOT coalesce(n.e_type = 'OBJECT' AND n.a_type = 'OBJECT', FALSE)
   AND (n.e_val IS NULL OR n.a_val IS NULL OR n.e_val <> n.a_val)"""
 
 
-def reconcile_sql(o: CatalogueOptions, select: str, exact: bool = False) -> str:
+def reconcile_sql(o: CatalogueOptions, select: str, exact: bool = False, strict: bool = False) -> str:
     index = (_exact_index_ctes("B_") + "," + _exact_index_ctes("C_")) if exact else (
-        _index_ctes("B_", o) + "," + _index_ctes("C_", o))
+        _index_ctes("B_", o, strict) + "," + _index_ctes("C_", o, strict))
     return ("WITH " + catalogue_block(o, 0, "B_") + "," + catalogue_block(o, 1, "C_") + "," + index + ","
             + _PAIRS + select)
 
@@ -494,4 +494,5 @@ def oracle_queries_more() -> dict[str, str]:
             o, "\nSELECT 'baseline' AS side, entity, aspect FROM PAIRS WHERE bc "
                "UNION ALL SELECT 'candidate' AS side, entity, aspect FROM PAIRS WHERE cc"),
         "reconcile_exact_summary": reconcile_sql(o, _SUMMARY, exact=True),
+        "reconcile_strict_summary": reconcile_sql(o, _SUMMARY, strict=True),
     }

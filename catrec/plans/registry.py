@@ -244,6 +244,10 @@ def q_reconcile_exact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile_test_data(spark, sf_dir, mode="exact").summary
 
 
+def q_reconcile_strict_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile_test_data(spark, sf_dir, mode="strict").summary
+
+
 QUERIES: dict[str, Query] = {
     "database_filter": q_database_filter,
     "duplicate_keys": q_duplicate_keys,
@@ -270,4 +274,5 @@ QUERIES: dict[str, Query] = {
     "reconcile_differences": q_reconcile_differences,
     "reconcile_duplicates": q_reconcile_duplicates,
     "reconcile_exact_summary": q_reconcile_exact_summary,
+    "reconcile_strict_summary": q_reconcile_strict_summary,
 }
