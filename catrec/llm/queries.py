@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catrec.llm import bpe_count, hilbert, langid, linkgraph, mixing
+from catrec.llm import bpe_count, decontam, hilbert, langid, linkgraph, mixing, rabitq
 from catrec.llm.common import table
 
 SHARDS = 24
@@ -32,6 +32,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", "held_out", "lang_pred", "score", "spans")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.find_items(docs, table(spark, sf_dir, "benchmark")).select(
+        "row_.doc_id", "contaminated", "items", "distances")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = bpe_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path())
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -41,6 +47,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS).select(
         "doc_id", "size", "source_size", "target", "taken", "copies", "rate")
@@ -50,6 +60,6 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_token_counts, op5_sharding, op8_source_mixing,
-                                   op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op4_token_counts, op5_sharding,
+                                   op7_embedding_dedup, op8_source_mixing, op9_url_filter)}
 ORACLE_SQL: dict[str, str] = {}
