@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 #: Bytes of text that a Python task holds as objects at a time (whole documents).
 CHUNK_BYTES = 2 << 20
+CHUNK_ROWS = 8192
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,7 +50,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHU
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, size in enumerate(sizes):
-            if held and held + size > limit:
+            if held and held + size > limit or i - start >= CHUNK_ROWS:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(size)

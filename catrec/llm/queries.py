@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catrec.llm import bpe_count, decontam, hilbert, langid, linkgraph, mixing, rabitq
+from catrec.llm import bpe_count, decontam, hilbert, icws, langid, linkgraph, mixing, ppm, rabitq
 from catrec.llm.common import table
 
 SHARDS = 24
@@ -38,6 +38,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row_.doc_id", "contaminated", "items", "distances")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(id_remainder(7) == 2, F.lit(False))
+    scored = ppm.score_documents(table(spark, sf_dir, "documents"), ~held)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = bpe_count.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path())
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -47,6 +54,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_by_bytes(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return icws.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rabitq.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -60,6 +71,6 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op4_token_counts, op5_sharding,
-                                   op7_embedding_dedup, op8_source_mixing, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_lm_score, op4_token_counts, op5_sharding,
+                                   op6_minhash_dedup, op7_embedding_dedup, op8_source_mixing, op9_url_filter)}
 ORACLE_SQL: dict[str, str] = {}
