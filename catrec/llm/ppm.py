@@ -32,7 +32,7 @@ from catrec.llm.common import stored
 
 ORDER = 4
 #: Bytes of text in a block, about; its task holds them as arrays.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
 BEGIN, END = 0xFE, 0xFF  # bytes that UTF-8 never holds
 WORD_KIND, GRAM_KIND = 0, 1
 
