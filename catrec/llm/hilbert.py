@@ -68,15 +68,15 @@ def add_curve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=[*rest.schema.names, "curve"])
 
 
-def shard_by_bytes(docs: DataFrame, shards: int, id_column: str = "doc_id") -> DataFrame:
-    """(id, size, text_crc32, law, shard, slot, grown_shard, curve) of every document.
+def shard_by_bytes(docs: DataFrame, shards: int, id_column: str = "doc_id", carry: list[str] | None = None) -> DataFrame:
+    """(id, size, text_crc32, law, shard, slot, grown_shard, curve) of every document, with the ``carry`` columns.
 
     ``size`` is the UTF-8 bytes of the text plus 8.  Runs of the curve order are
     cut at equal sums of size; slots count from 0 in curve order.
     """
     text = F.coalesce("text", F.lit(""))
     plain = docs.select(
-        F.col(id_column).alias("id"), "lang", "source",
+        F.col(id_column).alias("id"), "lang", "source", F.struct(*(carry or [id_column])).alias("row"),
         (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         *text_key(F.col("text")))
@@ -88,7 +88,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_column: str = "doc_id") -> D
     own = lambda name: F.when(F.col("lead").isNull(), F.col(name)).otherwise(F.col("lead")[name])
     cell = lambda c: F.pmod(F.xxhash64(F.coalesce(F.concat(F.lit("="), c), F.lit("null"))), F.lit(1 << BITS))
     scale = F.least(F.floor(F.log2(F.col("size").cast("double")) * 8), F.lit((1 << BITS) - 1)).cast("long")
-    placed = led.select("id", "size", "text_crc32", "key_a", "key_b",
+    placed = led.select("id", "row", "size", "text_crc32", "key_a", "key_b",
                         cell(own("lang")).alias("d0"), cell(own("source")).alias("d1"), scale.alias("d2"))
     schema = widened(placed.drop("d0", "d1", "d2").schema, "curve long")
     ordered, _, total = global_order(placed.mapInArrow(add_curve, schema),
@@ -102,7 +102,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_column: str = "doc_id") -> D
     return cut_up.join(F.broadcast(firsts), "shard").select(
         F.col("id").alias(id_column), "size", "text_crc32", F.lit("bytes").alias("law"),
         F.col("shard").cast("int").alias("shard"), (F.col("position") - F.col("first")).alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "curve")
+        F.lit(None).cast("int").alias("grown_shard"), "curve", *[F.col("row")[c].alias(c) for c in carry or []])
 
 
 def move_cuts(ordered: DataFrame, cuts: list[int], small: float) -> list[int]:

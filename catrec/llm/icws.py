@@ -216,4 +216,4 @@ def near_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         leads = leads.withColumn("root", F.lit(None).cast("long"))
     class_id = F.coalesce("root", "lead", "id")
     return signed.select("id", "key_a", "key_b").join(leads, ["key_a", "key_b"], "left").select(
-        F.col("id").alias(id_column), class_id.alias("class_id"), (F.col("id") == class_id).alias("kept"))
+        F.col("id").alias(id_column), class_id.alias("class_id"), F.col("id").eqNullSafe(class_id).alias("kept"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catrec.llm import bpe_count, decontam, hilbert, icws, langid, linkgraph, mixing, ppm, rabitq
+from catrec.llm import bpe_count, decontam, fuzzy_lines, hilbert, icws, langid, linkgraph, mixing, ppm, rabitq
 from catrec.llm.common import table
 
 SHARDS = 24
@@ -71,6 +71,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkgraph.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dropped = fuzzy_lines.dropped_lines(table(spark, sf_dir, "documents"))
+    return dropped.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), "dropped")
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_lm_score, op4_token_counts, op5_sharding,
-                                   op6_minhash_dedup, op7_embedding_dedup, op8_source_mixing, op9_url_filter)}
+                                   op6_minhash_dedup, op7_embedding_dedup, op8_source_mixing, op9_url_filter,
+                                   op10_fuzzy_lines)}
 ORACLE_SQL: dict[str, str] = {}
