@@ -15,7 +15,6 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -136,16 +135,16 @@ def global_order(df: DataFrame, order: list[Column], value: str) -> tuple[DataFr
 
 
 def hub_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
-    """Verified links among the members of buckets, enough to give every class.
+    """Classes by the verified links among the members of buckets.
 
     ``buckets`` (bucket, id): distinct candidate memberships, only buckets of
     two and more; ``verify`` keeps the true pairs of a frame (a, b).  The least
     id of a bucket is compared with all others first; members that then share a
-    class need no more comparisons, so a group of copies costs as many pairs
-    as it has members.  Buckets that still hold several classes go on with the
-    next members as hubs (1, 2, 4, 8, ... at a time) against later members of
-    other classes, until one class is left or every pair of different classes
-    has been compared: nothing that a bucket offers is lost.
+    class need no more comparisons, so a group of copies costs as many pairs as
+    it has members.  Buckets that still hold several classes get a fresh hub in
+    each further round (another one in each bucket, by hash), compared with the
+    members of other classes, until a round links nothing new.  A round makes at
+    most one pair per membership, whatever the size of a bucket.
 
     Returns (id, root) for the linked ids, or None where there is no link.
     """
@@ -153,25 +152,24 @@ def hub_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> D
     hubs = members.groupBy("bucket").agg(F.min("id").alias("a"))
     pairs = stored(members.join(hubs, "bucket").where("a < id").select("a", F.col("id").alias("b")).distinct())
     links = stored(verify(pairs))
-    tested, first, width = pairs, 1, 1
-    roots = connected_components(links)
+    tested, done = pairs, 1
+    if links.isEmpty():
+        roots = links.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    else:
+        roots = connected_components(links)
     while True:
         named = (members.join(roots, "id", "left")
                  .select("bucket", "id", F.coalesce("root", "id").alias("root")))
+        fresh = F.min(F.struct(F.xxhash64(F.lit(done), "bucket", "id").alias("draw"), F.col("id").alias("a"),
+                               F.col("root").alias("root_a"))).alias("hub")
         open_buckets = (named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                                    F.count("*").alias("n"))
-                        .where((F.col("low") < F.col("high")) & (F.col("n") > first + 1)).select("bucket"))
-        left = named.join(open_buckets, "bucket")
-        left = stored(left.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy("id"))))
-        if left.isEmpty():
-            return None if roots.isEmpty() else roots
-        hub = left.where((F.col("at") > first) & (F.col("at") <= first + width)).select(
-            "bucket", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("at").alias("at_a"))
-        more = (hub.join(left, "bucket").where("at > at_a and root <> root_a")
-                .select("a", F.col("id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"))
-        more = stored(more)
-        if not more.isEmpty():
-            links = links.unionByName(stored(verify(more)))
-            tested = tested.unionByName(more)
-            roots = connected_components(links)
-        first, width = first + width, width * 2
+                                                    F.count("*").alias("n"), fresh)
+                        .where((F.col("low") < F.col("high")) & (F.col("n") > done + 1)).select("bucket", "hub.*"))
+        more = (named.join(open_buckets, "bucket").where("root <> root_a")
+                .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
+        more = stored(more.join(tested, ["a", "b"], "left_anti"))
+        found = stored(verify(more))
+        if found.isEmpty():
+            return None if links.isEmpty() else roots
+        links, tested, done = links.unionByName(found), tested.unionByName(more), done + 1
+        roots = connected_components(links)
