@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from catrec.llm.common import global_order, text_key, widened
 
 BITS = 8
+ADDED = ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
 #: Part of a shard that a group of equal texts may take and still move a cut.
 SMALL_GROUP = 1 / 50
 

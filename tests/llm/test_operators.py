@@ -330,7 +330,7 @@ def test_url_filter(spark):
     assert got[0] == ("a.example.net", "/en/1", "example.net/en/", "allow")
     assert got[1] == ("a.example.net", "/fr/2", "net/", "block")
     assert got[2] == got[3] == ("", "", None, "allow")
-    assert got[4][2:] == ("org/fr/", "allow") and got[5] == ("example.com", "", None, "block")
+    assert got[4][2:] == ("org/fr/", "allow") and got[5] == ("example.com", "", None, "allow")
     assert got[6][2:] == ("example.com/de/", "block") and got[7][2:] == (None, "allow")
     assert got[8][2:] == ("net/", "block")
     assert got[9] == ("friend.test", "/", None, "block")  # it links to a blocked host
