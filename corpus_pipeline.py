@@ -47,7 +47,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return hilbert.shard_by_bytes(docs, SHARDS, carry=[c for c in docs.columns if c != "doc_id"])
+    """The documents with their shards; a column that shares the name of an added one gives way to it."""
+    carry = [c for c in docs.columns if c != "doc_id" and c not in hilbert.ADDED]
+    return hilbert.shard_by_bytes(docs, SHARDS, carry=carry)
 
 
 STAGES = [
