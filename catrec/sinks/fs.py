@@ -68,13 +68,11 @@ def head_text(spark: SparkSession, path: str, size: int = 16) -> str:
     stream = fs.open(hpath)
     try:
         out = bytearray()
-        skipped = 0
-        while len(out) < size and skipped < 4096:
+        while len(out) < size:
             value = stream.read()
             if value < 0:
                 break
             if not out and chr(value).isspace():
-                skipped += 1
                 continue
             out.append(value)
         return out.decode("utf-8", "ignore")
@@ -84,7 +82,7 @@ def head_text(spark: SparkSession, path: str, size: int = 16) -> str:
 
 def list_tree(spark: SparkSession, path: str) -> list[str]:
     """All files below ``path`` (or ``path`` itself when it is a file),
-    skipping names that start with ``_`` or ``.`` at any level."""
+    skipping files whose own name starts with ``_`` or ``.``."""
     fs, hpath = _filesystem(spark, path)
     if not fs.exists(hpath):
         raise FileNotFoundError(path)
@@ -93,12 +91,10 @@ def list_tree(spark: SparkSession, path: str) -> list[str]:
         return [status.getPath().toString()]
     found = []
     iterator = fs.listFiles(hpath, True)
-    root = status.getPath().toString().rstrip("/")
     while iterator.hasNext():
         item = iterator.next()
         full = item.getPath().toString()
-        relative = full[len(root):].lstrip("/")
-        if any(part.startswith(("_", ".")) for part in relative.split("/")):
+        if full.rsplit("/", 1)[-1].startswith(("_", ".")):
             continue
         found.append(full)
     return sorted(found)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catrec.operators.catalogue import Metastore
@@ -18,6 +19,7 @@ from catrec.schemas import MANIFEST_SCHEMA, METASTORE_SCHEMAS, TRANSFORM_TABLES
 
 # Matches both ``part-00000.jsonl.gz`` and Spark's ``part-...-c000.json.gz``.
 PART_GLOB = "*.json*"
+DAMAGED = "_damaged_line"
 
 
 def table_path(root: str, name: str) -> str:
@@ -28,13 +30,21 @@ def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType |
     """Read one relation; fixed schema when known, inferred otherwise.
 
     Parsing is permissive: a value of the wrong type becomes null and the
-    row is kept (e.g. bit columns dumped as text).
+    row is kept (e.g. bit columns dumped as text).  A line that is no JSON at
+    all (a damaged file) fails the read of a relation with a fixed schema.
     """
     schema = schema if schema is not None else METASTORE_SCHEMAS.get(name)
     reader = spark.read.option("pathGlobFilter", PART_GLOB).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.json(table_path(root, name))
+    if schema is None:
+        return reader.json(table_path(root, name))
+    marked = T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())])
+    rows = reader.schema(marked).option("columnNameOfCorruptRecord", DAMAGED).json(table_path(root, name))
+    damaged = F.col(DAMAGED).isNotNull() & F.expr(f"try_parse_json({DAMAGED})").isNull()
+    # The message names a column too: a scan may not ask for the damaged text alone.
+    message = F.concat_ws(" ", F.lit(f"snapshot table {name} holds a line that is not JSON:"),
+                          F.substring(DAMAGED, 1, 200), F.col(schema.fieldNames()[0]).cast("string"))
+    sound = F.coalesce(F.when(damaged, F.raise_error(message).cast("boolean")), F.lit(True))
+    return rows.where(sound).drop(DAMAGED)
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:

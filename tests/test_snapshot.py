@@ -111,3 +111,17 @@ def test_jdbc_source_reads_tables(spark, scratch):
     assert sorted(r.TBL_ID for r in df.collect()) == list(range(1, 51))
     root = write_snapshot(spark, tables, scratch, "jdbc", rows_per_file=10)
     assert read_table(spark, root, "TBLS").count() == 50
+
+
+def test_damaged_line_fails_the_read(spark, scratch):
+    import os
+
+    import pytest
+
+    from catrec.sources.snapshot import read_table
+
+    os.makedirs(f"{scratch}/DBS")
+    with open(f"{scratch}/DBS/part-00000.json", "w") as out:
+        out.write('{"DB_ID": 1, "NAME": "a"}\n{"DB_ID": 2, "NA')
+    with pytest.raises(Exception, match="not JSON"):
+        read_table(spark, scratch, "DBS").collect()
