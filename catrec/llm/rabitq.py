@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ RECALL = 0.985
 BUCKET_ROWS = 16
 #: Vectors of a block of a large bucket.
 BLOCK_ROWS = 256
+#: Candidate pairs that a task holds at a time.
+PAIRS = 1 << 17
 #: Standard deviations of the estimate that a pair may lie below the threshold and still be recomputed.
 CONFIDENCE = 5.0
 QUERY_BITS = 4
@@ -93,75 +96,94 @@ def encode(vectors: np.ndarray, total: int, threshold: float) -> tuple[np.ndarra
     return keys, codes, factors
 
 
-def likely_pairs(left: np.ndarray, right: np.ndarray, codes: np.ndarray, factors: np.ndarray, flat: np.ndarray,
-                 threshold: float) -> np.ndarray:
-    """Mask (left x right): the estimate plus its bound reaches the threshold."""
-    dims = flat.shape[1]
-    query = flat[right].astype(np.float32) @ code_rotation(dims)
-    low = query.min(1)
-    step = np.maximum((query.max(1) - low) / (2 ** QUERY_BITS - 1), 1e-12)
-    levels = np.rint((query - low[:, None]) / step[:, None]).astype(np.uint8)
-    ones = np.bitwise_count(codes[left]).sum(1).astype(np.float32)
-    summed = np.zeros((len(left), len(right)), np.float32)
-    for bit in range(QUERY_BITS):
-        plane = packed(levels >> bit & 1)
-        summed += np.float32(2 ** bit) * np.bitwise_count(codes[left][:, None, :] & plane[None]).sum(2)
-    total = low * dims + step * levels.sum(1)
-    signed = 2 * (low * ones[:, None] + step * summed) - total
-    estimate = signed / math.sqrt(dims) / factors[left][:, None]
-    spread = np.sqrt(np.maximum(1 - factors[left] ** 2, 0)) / factors[left] / math.sqrt(max(dims - 1, 1))
-    bound = CONFIDENCE * (spread[:, None] + 0.3 * step / factors[left][:, None])
-    return estimate + bound >= threshold
-
-
-class Block:
-    """Rows of one pair of blocks, compared."""
-
-    def __init__(self, rows: list[dict], kind: str, threshold: float):
-        self.ids = np.array([r["id"] for r in rows], np.int64)
-        self.copies = np.array([r["copies"] for r in rows], np.int64)
-        self.keys = np.array([r["keys"] for r in rows], np.int64)
-        self.codes = np.stack([np.frombuffer(r["code"], np.uint64) for r in rows])
-        self.factors = np.array([r["factor"] for r in rows], np.float32)
-        self.flat = unit(np.stack([np.frombuffer(r["vector"], kind) for r in rows]))
-        self.own = np.array([r["own"] for r in rows])
-        self.bucket, self.low, self.high = rows[0]["bucket"], rows[0]["low"], rows[0]["high"]
+class Members:
+    """Rows of one length of many pairs of blocks, in order of group and own block; all groups are compared at once."""
+
+    def __init__(self, rows: pa.RecordBatch, kind: str, threshold: float):
+        whole = {c: rows.column(c).to_numpy(zero_copy_only=False) for c in
+                 ("id", "copies", "bucket", "low", "high", "own", "factor")}
+        self.ids, self.copies, self.bucket, self.factors = (whole[c] for c in ("id", "copies", "bucket", "factor"))
+        n = rows.num_rows
+        self.keys = rows.column("keys").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+        self.codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint64).reshape(n, -1)
+        self.flat = unit(np.frombuffer(b"".join(rows.column("vector").to_pylist()), kind).reshape(n, -1))
         self.threshold = threshold
+        # Partners of a row: the later rows of its group if it pairs a block with itself, else the other block's rows.
+        ends = np.append(np.flatnonzero(changes([whole[c] for c in ("bucket", "low", "high")])), n)
+        end = np.repeat(ends[1:], np.diff(ends))
+        blocks = np.append(np.flatnonzero(changes([whole[c] for c in ("bucket", "low", "high", "own")])), n)
+        other = np.repeat(blocks[1:], np.diff(blocks))
+        self.first = np.where(whole["low"] == whole["high"], np.arange(n) + 1,
+                              np.where(whole["own"] == whole["low"], other, end))
+        self.partners = end - self.first
+        self._queries()
+
+    def _queries(self) -> None:
+        """Each row as a query of QUERY_BITS bits a dimension: bit planes, and what the estimate needs of it."""
+        dims = self.flat.shape[1]
+        query = self.flat.astype(np.float32) @ code_rotation(dims)
+        self.least = query.min(1)
+        self.step = np.maximum((query.max(1) - self.least) / (2 ** QUERY_BITS - 1), 1e-12)
+        levels = np.rint((query - self.least[:, None]) / self.step[:, None]).astype(np.uint8)
+        self.planes = [packed(levels >> bit & 1) for bit in range(QUERY_BITS)]
+        self.total = self.least * dims + self.step * levels.sum(1)
+        self.ones = np.bitwise_count(self.codes).sum(1).astype(np.float32)
+        self.spread = (np.sqrt(np.maximum(1 - self.factors ** 2, 0)) / self.factors
+                       / math.sqrt(max(dims - 1, 1))).astype(np.float32)
+
+    def likely(self, coded: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """Mask of the pairs (code, query) whose estimate plus its bound reaches the threshold."""
+        summed = np.zeros(len(coded), np.float32)
+        for bit, plane in enumerate(self.planes):
+            summed += np.float32(2 ** bit) * np.bitwise_count(self.codes[coded] & plane[asked]).sum(1)
+        signed = 2 * (self.least[asked] * self.ones[coded] + self.step[asked] * summed) - self.total[asked]
+        estimate = signed / math.sqrt(self.flat.shape[1]) / self.factors[coded]
+        bound = CONFIDENCE * (self.spread[coded] + 0.3 * self.step[asked] / self.factors[coded])
+        return estimate + bound >= self.threshold
+
+    def linked(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The linked pairs of rows, in runs of about PAIRS candidates; each pair in the first table that both share."""
+        before = np.append(0, np.cumsum(self.partners))
+        start = 0
+        while start < len(self.partners):
+            stop = max(start + 1, int(np.searchsorted(before, before[start] + PAIRS, "right")) - 1)
+            left = np.repeat(np.arange(start, stop), self.partners[start:stop])
+            right = self.first[left] + np.arange(len(left)) - (before[left] - before[start])
+            near = self.likely(left, right)
+            near[~near] = self.likely(right[~near], left[~near])
+            left, right = left[near], right[near]
+            here = self.keys[left, (self.keys[left] == self.keys[right]).argmax(1)] == self.bucket[left]
+            left, right = left[here], right[here]
+            same = np.einsum("ij,ij->i", self.flat[left], self.flat[right]) >= self.threshold
+            yield left[same], right[same]
+            start = stop
 
-    def links(self) -> Iterator[tuple[int, int, int]]:
-        """(id, copies linked, least id reached here) of the rows that have links."""
-        if self.low == self.high:
-            left = right = np.arange(len(self.ids))
-        else:
-            left, right = np.flatnonzero(self.own == self.low), np.flatnonzero(self.own == self.high)
-        if not len(left) or not len(right):
-            return
-        likely = likely_pairs(left, right, self.codes, self.factors, self.flat, self.threshold)
-        a, b = np.nonzero(likely | likely_pairs(right, left, self.codes, self.factors, self.flat, self.threshold).T
-                          if self.low == self.high else likely)
-        a, b = left[a], right[b]
-        if self.low == self.high:
-            a, b = a[a < b], b[a < b]
-        met = (self.keys[a] == self.keys[b]).argmax(1)  # the first table that both share
-        here = self.keys[a, met] == self.bucket
-        a, b = a[here], b[here]
-        cosine = np.einsum("ij,ij->i", self.flat[a], self.flat[b])
-        a, b = a[cosine >= self.threshold], b[cosine >= self.threshold]
-        if not len(a):
-            return
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(id, copies linked, least id reached in its group) of the rows that have links."""
+        runs = list(self.linked())
+        a, b = (np.concatenate([run[side] for run in runs]) for side in (0, 1))
         count = np.zeros(len(self.ids), np.int64)
         np.add.at(count, a, self.copies[b])
         np.add.at(count, b, self.copies[a])
         root = self.ids.copy()
-        while True:  # least id over the linked rows of this block
+        while len(a):
             before = root.copy()
             least = np.minimum(root[a], root[b])
             np.minimum.at(root, a, least)
             np.minimum.at(root, b, least)
             if (root == before).all():
                 break
-        for i in np.flatnonzero(count):
-            yield int(self.ids[i]), int(count[i]), int(root[i])
+        some = np.flatnonzero(count)
+        return self.ids[some], count[some], root[some]
+
+
+def changes(columns: list[np.ndarray]) -> np.ndarray:
+    """Mask of the rows at which any of the columns differs from the row before; the first row counts."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return new
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: str = "vec_id",
@@ -207,25 +229,28 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
                       "id", "copies", "keys", "code", "factor", "vector"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def result(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
-            ids, counts, roots = zip(*found, strict=True) if found else ((), (), ())
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()),
-                                               pa.array(roots, pa.int64())], names=["id", "links", "root"])
+        def result(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            lengths = pc.binary_length(rows.column("vector")).to_numpy(zero_copy_only=False)
+            for length in np.unique(lengths):
+                alike = Members(rows.take(pa.array(np.flatnonzero(lengths == length))), kind, threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in alike.links()],
+                                                 names=["id", "links", "root"])
 
-        held: list[dict] = []
+        held = None
         for batch in batches:
-            found = []
-            for row in batch.to_pylist():
-                if held and any(row[c] != held[0][c] for c in ("bucket", "low", "high")):
-                    found.extend(Block(held, kind, threshold).links())
-                    held = []
-                held.append(row)
-            if found:
-                yield result(found)
-        if held:
-            yield result(list(Block(held, kind, threshold).links()))
-
-    near = stored(placed.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            # The last group may go on in the next batch.
+            groups = np.flatnonzero(changes([rows.column(c).to_numpy(zero_copy_only=False)
+                                             for c in ("bucket", "low", "high")]))
+            held = rows.slice(groups[-1])
+            if groups[-1]:
+                yield from result(rows.slice(0, groups[-1]))
+        if held is not None:
+            yield from result(held)
+
+    near = stored(placed.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high", "own")
                   .mapInArrow(compared, "id long, links long, root long"))
     links = near.groupBy("id").agg(F.sum("links").alias("links"))
     roots = connected_components(near.select("id", "root"), "id", "root")
