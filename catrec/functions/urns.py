@@ -26,11 +26,17 @@ def encode_identifier(value: Column) -> Column:
 
 
 def dataset_urn(name: Column, o: CatalogueOptions, encode: bool = False) -> Column:
-    """``urn:li:dataset:(urn:li:dataPlatform:P,[instance.]name,ENV)``."""
+    """``urn:li:dataset:(urn:li:dataPlatform:P,[instance.]name,ENV)``; ``encode`` escapes all three parts."""
+    escape = encode_identifier if encode else (lambda part: part)
     qualified = F.concat(F.lit(f"{o.platform_instance}."), name) if o.platform_instance else name
-    if encode:
-        qualified = encode_identifier(qualified)
-    return F.concat(F.lit(f"urn:li:dataset:({o.platform_urn},"), qualified, F.lit(f",{o.env_upper})"))
+    return F.concat(F.lit("urn:li:dataset:(urn:li:dataPlatform:"), escape(F.lit(o.platform)), F.lit(","),
+                    escape(qualified), F.lit(","), escape(F.lit(o.env_upper)), F.lit(")"))
+
+
+def named_container_urn(database_name: Column, o: CatalogueOptions) -> Column:
+    """Container of a database by its readable key instead of a GUID, escaped."""
+    return F.concat(F.lit("urn:li:container:"),
+                    encode_identifier(F.concat(F.lit(f"{o.platform}.{o.env_upper}."), database_name)))
 
 
 def _container_guid(o: CatalogueOptions, schema: Column | None) -> Column:

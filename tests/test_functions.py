@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catrec.functions.fields import field_path, json_props, type_class
-from catrec.functions.urns import dataset_urn, encode_identifier, root_container_urn, schema_container_urn
+from catrec.functions.urns import dataset_urn, encode_identifier, named_container_urn, root_container_urn, schema_container_urn
 from catrec.functions.values import epoch_to_local_date
 from catrec.options import CatalogueOptions, parse_byte_size
 
@@ -31,6 +31,17 @@ def test_percent_encoding_matches_quote(spark, value, expected):
     assert one(spark, encode_identifier(F.col("v")), value) == expected
 
 
+def test_all_parts_of_an_encoded_urn_are_escaped(spark):
+    o = CatalogueOptions(platform="my hive", env="q,a")
+    assert one(spark, dataset_urn(F.col("v"), o, encode=True), "a(b") == (
+        "urn:li:dataset:(urn:li:dataPlatform:my%20hive,a%28b,Q%2CA)")
+
+
+def test_named_container(spark):
+    assert one(spark, named_container_urn(F.col("v"), CatalogueOptions(env="uat")), "sales eu") == (
+        "urn:li:container:hive.UAT.sales%20eu")
+
+
 def test_plain_urn_with_instance(spark):
     o = CatalogueOptions(env="uat", platform_instance="hive")
     assert one(spark, dataset_urn(F.col("v"), o), "hive.t") == "urn:li:dataset:(urn:li:dataPlatform:hive,hive.hive.t,UAT)"
