@@ -21,6 +21,8 @@ from pyspark.sql.types import StructType
 #: Bytes of text that a Python task holds as objects at a time (whole documents).
 CHUNK_BYTES = 2 << 20
 CHUNK_ROWS = 8192
+#: Buckets up to this size have all pairs between their classes verified.
+SMALL_BUCKET = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,42 +136,69 @@ def global_order(df: DataFrame, order: list[Column], value: str) -> tuple[DataFr
     return placed.drop("part", "rows_ahead", "sum_ahead"), rows, total
 
 
-def hub_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Classes (id, root) after further ``links``: only the linked classes are walked again."""
+    if roots is None:
+        return connected_components(links)
+    ends = links
+    for end in ("a", "b"):
+        near = roots.select(F.col("id").alias(end), F.col("root").alias("near"))
+        ends = ends.join(near, end, "left").withColumn(end, F.coalesce("near", end)).drop("near")
+    merged = connected_components(ends)
+    moved = roots.join(merged.select(F.col("id").alias("root"), F.col("root").alias("above")), "root", "left").select(
+        "id", F.coalesce("above", "root").alias("root"))
+    return stored(moved.union(merged.join(roots, "id", "left_anti").select("id", "root")))
+
+
+def hub_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
+              compare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
     """Classes by the verified links among the members of buckets.
 
     ``buckets`` (bucket, id): distinct candidate memberships, only buckets of
     two and more; ``verify`` keeps the true pairs of a frame (a, b).  The least
     id of a bucket is compared with all others first; members that then share a
     class need no more comparisons, so a group of copies costs as many pairs as
-    it has members.  Buckets that still hold several classes get a fresh hub in
-    each further round (another one in each bucket, by hash), compared with the
-    members of other classes, until a round links nothing new.  A round makes at
-    most one pair per membership, whatever the size of a bucket.
+    it has members.  Of buckets that still hold several classes, those of up to
+    ``SMALL_BUCKET`` members have all pairs between classes verified (at most
+    half that number for each membership).  The larger ones are handed to
+    ``compare``, which takes rows (bucket, id, root) and returns the true pairs
+    (a, b) between their classes.  Without it they get a fresh hub in each further
+    round (by hash), compared with the members of other classes, until a round
+    links nothing new.
 
     Returns (id, root) for the linked ids, or None where there is no link.
     """
     members = stored(buckets)
     hubs = members.groupBy("bucket").agg(F.min("id").alias("a"))
-    pairs = stored(members.join(hubs, "bucket").where("a < id").select("a", F.col("id").alias("b")).distinct())
-    links = stored(verify(pairs))
-    tested, done = pairs, 1
-    if links.isEmpty():
-        roots = links.select(F.col("a").alias("id"), F.col("b").alias("root"))
-    else:
-        roots = connected_components(links)
+    tested = stored(members.join(hubs, "bucket").where("a < id").select("a", F.col("id").alias("b")).distinct())
+    found = stored(verify(tested))
+    roots = None if found.isEmpty() else joined_roots(None, found)
+    rounds = 1
     while True:
-        named = (members.join(roots, "id", "left")
-                 .select("bucket", "id", F.coalesce("root", "id").alias("root")))
-        fresh = F.min(F.struct(F.xxhash64(F.lit(done), "bucket", "id").alias("draw"), F.col("id").alias("a"),
+        named = members.withColumn("root", F.col("id")) if roots is None else (
+            members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root")))
+        fresh = F.min(F.struct(F.xxhash64(F.lit(rounds), "bucket", "id").alias("draw"), F.col("id").alias("a"),
                                F.col("root").alias("root_a"))).alias("hub")
-        open_buckets = (named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                                    F.count("*").alias("n"), fresh)
-                        .where((F.col("low") < F.col("high")) & (F.col("n") > done + 1)).select("bucket", "hub.*"))
-        more = (named.join(open_buckets, "bucket").where("root <> root_a")
-                .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-        more = stored(more.join(tested, ["a", "b"], "left_anti"))
-        found = stored(verify(more))
-        if found.isEmpty():
-            return None if links.isEmpty() else roots
-        links, tested, done = links.unionByName(found), tested.unionByName(more), done + 1
-        roots = connected_components(links)
+        still = (named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                             F.count("*").alias("n"), fresh)
+                 .where((F.col("low") < F.col("high")) & (F.col("n") > rounds + 1)).select("bucket", "n", "hub"))
+        left = stored(named.join(still, "bucket"))
+        large = left.where(F.col("n") > SMALL_BUCKET)
+        small = left.where(F.col("n") <= SMALL_BUCKET).select("bucket", "id", "root")
+        others = small.select("bucket", F.col("id").alias("b"), F.col("root").alias("root_b"))
+        more = small.join(others, "bucket").where("id < b and root <> root_b").select(F.col("id").alias("a"), "b")
+        if compare is None:
+            once = large.where("root <> hub.root_a").select(
+                F.least("hub.a", "id").alias("a"), F.greatest("hub.a", "id").alias("b"))
+            more = more.union(once) if rounds == 1 else once
+        more = stored(more.distinct().join(tested, ["a", "b"], "left_anti"))
+        links = verify(more)
+        if compare is not None:
+            links = links.union(compare(large.select("bucket", "id", "root")))
+        found = stored(links.distinct())
+        linked = not found.isEmpty()
+        if linked:
+            roots = joined_roots(roots, found)
+        if compare is not None or not (linked or rounds == 1) or large.isEmpty():
+            return roots
+        tested, rounds = tested.unionByName(more), rounds + 1

@@ -5,8 +5,9 @@ times its inverse document frequency.  Document frequencies are counted over all
 documents in 2^18 hashed counters (a bounded table, broadcast).  Each document
 gets 48 consistent weighted samples in 12 bands of 4; two documents of weighted
 similarity 0.8 share a band with probability 0.998.  Members of a band's bucket
-are verified by exact weighted Jaccard similarity, hubs first (see
-``common.hub_links``), and linked documents form classes.
+are verified by exact weighted Jaccard similarity: hubs first, then all pairs
+between different classes, in large buckets block by block (see
+``common.hub_links``).  Linked documents form classes.
 
 Cases: equal texts are one class (also texts without a word); a null text is a
 class of its own; texts of fewer than five words have one shingle, all their
@@ -30,6 +31,9 @@ WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 FREQUENCY_BITS = 18
+#: Texts of a large bucket, and their shingles (16 bytes each), that one side of a block of comparisons holds, about.
+STRIPE = 256
+STRIPE_SHINGLES = 1 << 20
 #: Bits of a shingle's hash.
 KEY_BITS = 48
 #: Pairs with one hub that a verification group holds, about.
@@ -167,6 +171,54 @@ def similar_pairs(idf: np.ndarray):
     return verify
 
 
+def block_links(idf):
+    """A group function: pairs (a, b) of enough similarity between different classes, one of each stripe of a block."""
+
+    def links(block: pd.DataFrame) -> pd.DataFrame:
+        low = block["own"].to_numpy() == block["low"].iloc[0]
+        alone = block["low"].iloc[0] == block["high"].iloc[0]
+        ids, roots = block["id"].to_numpy(), block["root"].to_numpy()
+        keys = np.concatenate([np.frombuffer(k, "<u8") for k in block["keys"]])
+        weights = (np.concatenate([np.frombuffer(t, "<i8") for t in block["times"]])
+                   * idf.value[counter_of(keys)].astype(np.float64))
+        lengths = block["keys"].map(len).to_numpy() // 8
+        starts = np.cumsum(lengths) - lengths
+        sums = np.add.reduceat(weights, starts)
+        distinct, codes = np.unique(keys, return_inverse=True)
+        own = np.zeros(len(distinct))
+        right = np.arange(len(ids)) if alone else np.flatnonzero(~low)
+        of_right = np.repeat(alone | ~low, lengths)
+        right_codes, right_weights = codes[of_right], weights[of_right]
+        right_starts = np.cumsum(lengths[right]) - lengths[right]
+        found: tuple[list[np.ndarray], list[np.ndarray]] = ([np.empty(0, np.int64)], [np.empty(0, np.int64)])
+        for i in np.flatnonzero(low) if len(right) else ():
+            mine = slice(starts[i], starts[i] + lengths[i])
+            own[codes[mine]] = weights[mine]
+            shared = np.add.reduceat(np.minimum(own[right_codes], right_weights), right_starts)
+            own[codes[mine]] = 0.0
+            near = (shared >= SIMILARITY * (sums[right] + sums[i] - shared)) & (roots[right] != roots[i])
+            if alone:
+                near &= ids[right] > ids[i]
+            hits = ids[right[near]]
+            found[0].append(np.minimum(hits, ids[i]))
+            found[1].append(np.maximum(hits, ids[i]))
+        return pd.DataFrame({"a": np.concatenate(found[0]), "b": np.concatenate(found[1])})
+
+    return links
+
+
+def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, keys, times, n) of rows (id, text): the shingles as 64-bit numbers in order, their counts, how many."""
+    for chunk in text_chunks(batches, "text"):
+        owner, keys, times = shingles(chunk.column("text").to_pylist())
+        starts = np.searchsorted(owner, np.arange(chunk.num_rows + 1))
+        cuts = list(zip(starts[:-1], starts[1:], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [chunk.column("id"), pa.array([keys[a:b].astype("<u8").tobytes() for a, b in cuts], pa.binary()),
+             pa.array([times[a:b].astype("<i8").tobytes() for a, b in cuts], pa.binary()),
+             pa.array(np.diff(starts), pa.int64())], names=["id", "keys", "times", "n"])
+
+
 def near_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, class_id, kept) of every row: the least id of its class, and whether it is that one."""
     spark = docs.sparkSession
@@ -208,7 +260,22 @@ def near_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         return (others.union(leads).repartition("a", "salt")
                 .sortWithinPartitions("a", "salt", F.col("lead").desc()).mapInArrow(similar_pairs(idf), "a long, b long"))
 
-    roots = hub_links(buckets, verify)
+    def compare(members: DataFrame) -> DataFrame:
+        """Links between classes of large buckets: stripe against stripe, of at most so many texts and shingles, about."""
+        own_texts = candidates.join(members.select("id").distinct(), "id", "left_semi").select("id", "text")
+        sets = stored(own_texts.mapInArrow(shingle_sets, "id long, keys binary, times binary, n long"))
+        rows = members.join(sets.select("id", "n"), "id")
+        sizes = rows.groupBy("bucket").agg(F.ceil(F.greatest(
+            F.count("*") / STRIPE, F.sum("n") / STRIPE_SHINGLES)).cast("int").alias("stripes"))
+        dealt = rows.drop("n").join(sizes, "bucket").withColumn(
+            "own", F.pmod(F.xxhash64("id"), F.col("stripes")).cast("int"))
+        spread = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("stripes") - 1)))
+                  .join(sets.drop("n"), "id")
+                  .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                          "own", "id", "root", "keys", "times"))
+        return spread.groupBy("bucket", "low", "high").applyInPandas(block_links(idf), "a long, b long")
+
+    roots = hub_links(buckets, verify, compare)
     leads = texts.select("key_a", "key_b", F.col("id").alias("lead"))
     if roots is not None:
         leads = leads.join(roots.withColumnRenamed("id", "lead"), "lead", "left")
