@@ -5,8 +5,9 @@ blocked hosts to those that link to them; both are personalised PageRanks over
 distinct host edges, thresholded per host.  Everything is DataFrame functions.
 
 Edges are the absolute (or scheme-relative) links of a page's HTML, and each
-host is tied both ways to its parent domains that occur as hosts.  A host is a
-seed if the rules decide more than half of its pages one way.
+host is tied both ways to its parent domains below the public suffix, which are
+nodes whether a page has them as host or not, so that sibling hosts are linked.
+A host is a seed if the rules decide more than half of its pages one way.
 
 Cases: a url that is null or has no ``://`` has an empty host and path and no
 rule; null HTML has no links; ties between trust and distrust allow; repeated
@@ -25,6 +26,10 @@ DAMPING = 0.85
 ITERATIONS = 12
 #: Distrust that blocks a host, against its trust plus distrust.
 BLOCK_SHARE = 0.5
+#: Edges of a node that one part of it passes rank along, about.
+HUB_EDGES = 100_000
+#: Names of two labels under which anybody registers (one label always is a suffix).
+SUFFIX = r"^(?:ac|co|com|edu|go|gob|gouv|gov|gv|ltd|mil|ne|net|nom|or|org|plc|sch)\.[a-z]{2}$"
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/"'?#\s<>]+)"""
 
 
@@ -60,12 +65,14 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def parent_edges(hosts: DataFrame) -> DataFrame:
-    """Both ways between each host and those of its parent domains that are hosts."""
-    labels = F.split("host", r"\.")
-    parents = (hosts.select("host", F.posexplode(labels).alias("at", "label")).where("at > 0")
-               .select("host", F.array_join(F.slice(F.split("host", r"\."), F.col("at") + 1, 10_000), ".").alias("up")))
-    up = parents.join(hosts.select(F.col("host").alias("up")), "up").select(
-        F.col("host").alias("src"), F.col("up").alias("dst"))
+    """Both ways between each host and its parent domains below the public suffix; addresses have none."""
+    name = F.rtrim(F.regexp_replace("host", r"^.*@|:\d*$", ""), F.lit("."))
+    named = (hosts.select("host", F.split(name, r"\.").alias("labels"))
+             .where(F.col("host").contains(".") & ~F.col("host").rlike(r"^[0-9.]+(?::\d*)?$|[\[\]]")))
+    up = (named.select("host", F.explode(F.transform(
+        F.slice("labels", 1, F.size("labels") - 1), lambda _, at: F.array_join(F.slice("labels", at + 1, 10_000), ".")))
+        .alias("up")).where((F.col("up") != F.col("host")) & ~F.col("up").rlike(SUFFIX)).distinct()
+        .select(F.col("host").alias("src"), F.col("up").alias("dst")))
     return up.union(up.select("dst", "src"))
 
 
@@ -78,15 +85,21 @@ def propagate(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """
     flows = edges.select(F.lit("trust").alias("kind"), "src", "dst").union(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src")))
-    degree = flows.groupBy("kind", "src").agg(F.count("*").alias("degree"))
-    flows = stored(flows.join(degree, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", "degree"))
+    # A node of many edges is dealt in parts, each of which gets its rank.
+    degree = stored(flows.groupBy("kind", F.col("src").alias("host")).agg(F.count("*").alias("degree")).withColumn(
+        "parts", F.ceil(F.col("degree") / HUB_EDGES)))
+    hubs = degree.where("parts > 1").select("kind", "host", "parts")  # at most edges / HUB_EDGES rows
+    flows = stored(flows.withColumnRenamed("src", "host").join(F.broadcast(hubs), ["kind", "host"], "left").select(
+        "kind", "host", F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).alias("part"), "dst"))
     total = seeds.groupBy("kind").agg(F.sum("mass").alias("all"))  # two rows
     start = stored(seeds.join(F.broadcast(total), "kind").select(
         "kind", "host", (F.col("mass") / F.col("all") * (1 - DAMPING)).alias("rank")))
     ranks = start
     for step in range(1, ITERATIONS + 1):
-        passed = ranks.join(flows, ["kind", "host"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("rank") * DAMPING / F.col("degree")).alias("rank"))
+        shares = ranks.join(degree, ["kind", "host"]).select(
+            "kind", "host", (F.col("rank") * DAMPING / F.col("degree")).alias("rank"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        passed = shares.join(flows, ["kind", "host", "part"]).select("kind", F.col("dst").alias("host"), "rank")
         ranks = passed.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if step % 3 == 0:
             ranks = stored(ranks)
