@@ -23,11 +23,13 @@ from catrec.llm.common import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DAMPING = 0.85
-ITERATIONS = 12
+#: Share of the rank of a kind by which the last round of STEPS steps may still have raised it.
+TOLERANCE = 1e-6
+STEPS = 6
 #: Distrust that blocks a host, against its trust plus distrust.
 BLOCK_SHARE = 0.5
-#: Edges of a node that one part of it passes rank along, about.
-HUB_EDGES = 100_000
+#: Edges of a graph that one task holds.
+SMALL_EDGES = 200_000
 #: Names of two labels under which anybody registers (one label always is a suffix).
 SUFFIX = r"^(?:ac|co|com|edu|go|gob|gouv|gov|gv|ltd|mil|ne|net|nom|or|org|plc|sch)\.[a-z]{2}$"
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/"'?#\s<>]+)"""
@@ -79,32 +81,45 @@ def parent_edges(hosts: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(host, trust, distrust): two personalised PageRanks, one along and one against the edges.
 
-    ``seeds`` (kind, host, mass) with kind ``trust`` or ``distrust``; masses are
-    scaled to one per kind.  Nodes without way out return their mass to the seeds
-    by the final scaling.
+    ``seeds`` (kind, host, mass) with kind ``trust`` or ``distrust``.  Ranks grow
+    from the seeds' shares, so the L1 change of a round is that of their sums; rounds
+    end when it is below the tolerance and no further host was reached.  The ranks
+    of a kind are then scaled to one, which returns the mass of nodes without way
+    out to the seeds.
     """
     flows = edges.select(F.lit("trust").alias("kind"), "src", "dst").union(
         edges.select(F.lit("distrust"), F.col("dst"), F.col("src")))
-    # A node of many edges is dealt in parts, each of which gets its rank.
-    degree = stored(flows.groupBy("kind", F.col("src").alias("host")).agg(F.count("*").alias("degree")).withColumn(
-        "parts", F.ceil(F.col("degree") / HUB_EDGES)))
-    hubs = degree.where("parts > 1").select("kind", "host", "parts")  # at most edges / HUB_EDGES rows
-    flows = stored(flows.withColumnRenamed("src", "host").join(F.broadcast(hubs), ["kind", "host"], "left").select(
-        "kind", "host", F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1))).alias("part"), "dst"))
+    degree = flows.groupBy("kind", "src").agg(F.count("*").alias("degree"))
+    # Adaptive execution splits a hub's edges in this join and those of the steps; sums combine map-side.
+    flows = stored(flows.join(degree, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", "degree"))
+    # Measured: a graph that one task can hold takes one task a step.
+    small = flows.limit(SMALL_EDGES + 1).count() <= SMALL_EDGES
+    if small:
+        flows = F.broadcast(stored(flows.coalesce(1)))
     total = seeds.groupBy("kind").agg(F.sum("mass").alias("all"))  # two rows
-    start = stored(seeds.join(F.broadcast(total), "kind").select(
-        "kind", "host", (F.col("mass") / F.col("all") * (1 - DAMPING)).alias("rank")))
-    ranks = start
-    for step in range(1, ITERATIONS + 1):
-        shares = ranks.join(degree, ["kind", "host"]).select(
-            "kind", "host", (F.col("rank") * DAMPING / F.col("degree")).alias("rank"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
-        passed = shares.join(flows, ["kind", "host", "part"]).select("kind", F.col("dst").alias("host"), "rank")
-        ranks = passed.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if step % 3 == 0:
-            ranks = stored(ranks)
-    return ranks.groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0)).alias("trust"),
-                                     F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0.0)).alias("distrust"))
+    start = seeds.join(F.broadcast(total), "kind").select(
+        "kind", "host", (F.col("mass") / F.col("all") * (1 - DAMPING)).alias("rank"))
+    start = stored(start.coalesce(1) if small else start)
+    ranks, before = start, {}
+    while True:
+        for _ in range(STEPS):
+            passed = ranks.join(flows, ["kind", "host"]).select(
+                "kind", F.col("dst").alias("host"), (F.col("rank") * DAMPING / F.col("degree")).alias("rank"))
+            ranks = passed.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+            ranks = ranks.coalesce(1) if small else ranks
+        ranks = stored(ranks)
+        now = {r["kind"]: (r["hosts"], r["mass"]) for r in ranks.groupBy("kind").agg(
+            F.count("*").alias("hosts"), F.sum("rank").alias("mass")).collect()}  # two rows
+        if all(kind in before and hosts == before[kind][0] and mass - before[kind][1] <= TOLERANCE * mass
+               for kind, (hosts, mass) in now.items()):
+            break
+        before = now
+
+    def scaled(kind: str) -> Column:
+        mass = now.get(kind, (0, 1.0))[1]
+        return F.sum(F.when(F.col("kind") == kind, F.col("rank") / F.lit(mass)).otherwise(0.0)).alias(kind)
+
+    return ranks.groupBy("host").agg(scaled("trust"), scaled("distrust"))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], id_column: str = "page_id") -> DataFrame:
