@@ -151,7 +151,7 @@ def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def hub_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
-              compare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame | None:
+              compare: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """Classes by the verified links among the members of buckets.
 
     ``buckets`` (bucket, id): distinct candidate memberships, only buckets of
@@ -162,9 +162,7 @@ def hub_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     ``SMALL_BUCKET`` members have all pairs between classes verified (at most
     half that number for each membership).  The larger ones are handed to
     ``compare``, which takes rows (bucket, id, root) and returns the true pairs
-    (a, b) between their classes.  Without it they get a fresh hub in each further
-    round (by hash), compared with the members of other classes, until a round
-    links nothing new.
+    (a, b) between their classes.
 
     Returns (id, root) for the linked ids, or None where there is no link.
     """
@@ -173,32 +171,15 @@ def hub_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
     tested = stored(members.join(hubs, "bucket").where("a < id").select("a", F.col("id").alias("b")).distinct())
     found = stored(verify(tested))
     roots = None if found.isEmpty() else joined_roots(None, found)
-    rounds = 1
-    while True:
-        named = members.withColumn("root", F.col("id")) if roots is None else (
-            members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root")))
-        fresh = F.min(F.struct(F.xxhash64(F.lit(rounds), "bucket", "id").alias("draw"), F.col("id").alias("a"),
-                               F.col("root").alias("root_a"))).alias("hub")
-        still = (named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                             F.count("*").alias("n"), fresh)
-                 .where((F.col("low") < F.col("high")) & (F.col("n") > rounds + 1)).select("bucket", "n", "hub"))
-        left = stored(named.join(still, "bucket"))
-        large = left.where(F.col("n") > SMALL_BUCKET)
-        small = left.where(F.col("n") <= SMALL_BUCKET).select("bucket", "id", "root")
-        others = small.select("bucket", F.col("id").alias("b"), F.col("root").alias("root_b"))
-        more = small.join(others, "bucket").where("id < b and root <> root_b").select(F.col("id").alias("a"), "b")
-        if compare is None:
-            once = large.where("root <> hub.root_a").select(
-                F.least("hub.a", "id").alias("a"), F.greatest("hub.a", "id").alias("b"))
-            more = more.union(once) if rounds == 1 else once
-        more = stored(more.distinct().join(tested, ["a", "b"], "left_anti"))
-        links = verify(more)
-        if compare is not None:
-            links = links.union(compare(large.select("bucket", "id", "root")))
-        found = stored(links.distinct())
-        linked = not found.isEmpty()
-        if linked:
-            roots = joined_roots(roots, found)
-        if compare is not None or not (linked or rounds == 1) or large.isEmpty():
-            return roots
-        tested, rounds = tested.unionByName(more), rounds + 1
+    named = members.withColumn("root", F.col("id")) if roots is None else (
+        members.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root")))
+    still = (named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+             .where("low < high and n > 2").select("bucket", "n"))
+    left = stored(named.join(still, "bucket"))
+    small = left.where(F.col("n") <= SMALL_BUCKET).select("bucket", "id", "root")
+    others = small.select("bucket", F.col("id").alias("b"), F.col("root").alias("root_b"))
+    more = small.join(others, "bucket").where("id < b and root <> root_b").select(F.col("id").alias("a"), "b")
+    more = stored(more.distinct().join(tested, ["a", "b"], "left_anti"))
+    large = left.where(F.col("n") > SMALL_BUCKET).select("bucket", "id", "root")
+    found = stored(verify(more).union(compare(large)).distinct())
+    return roots if found.isEmpty() else joined_roots(roots, found)
