@@ -1,11 +1,13 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts and test items are compared as lower-case letters and digits with single
-spaces.  Each item (items of more than 30 words: each of its overlapping
-windows of 20 words) may be met with one edit per 16 characters; it is cut into
-one piece more than that, so some piece must stand exactly in any text that
-holds it.  An automaton finds all pieces in one pass over a text, and Myers'
-bit-parallel distance verifies the surroundings of each hit.
+spaces.  An item of up to 30 words, and each window of 20 words (one at every word)
+of an item of more than 20, may be met with one edit per 16 characters.  An item is
+cut into one piece more than that, the item of windows into a grid of pieces so short
+that each window holds one piece more than its edits; so some piece must stand exactly
+in any text that holds it.  An automaton finds all pieces in one pass over a text, and
+Myers' bit-parallel distance verifies the surroundings of each hit.  In scripts without
+spaces two characters count as a word.
 
 The test items are taken in blocks of bounded bytes, each broadcast and run
 over all documents, so their number has no limit.
@@ -18,6 +20,8 @@ to it; repeated rows and items repeat; texts are read whole.
 from __future__ import annotations
 
 import functools
+import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +33,14 @@ from catrec.llm.common import text_chunks, widened
 EDIT_CHARS = 16
 LEAST_WORDS = 5
 WHOLE_WORDS = 30
-WINDOW_WORDS, WINDOW_STEP = 20, 10
+WINDOW_WORDS = 20
+#: Characters of a grid piece, at most.
+PIECE_CHARS = 13
+#: Windows that a task holds ready.
+READY = 4096
+# Thai and Lao, Tibetan, Burmese, Khmer, Kana and Han stand without spaces.
+UNSPACED = "\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF"
+find_words = re.compile(f"[{UNSPACED}]{{1,2}}|[^ {UNSPACED}]+").finditer
 #: Bytes of test items that are broadcast at a time.
 BLOCK_BYTES = 4 << 20
 
@@ -38,12 +49,24 @@ def plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
 
 
-def windows(item: str) -> list[str]:
-    words = item.split()
-    if len(words) <= WHOLE_WORDS:
-        return [item]
-    starts = [*range(0, len(words) - WINDOW_WORDS, WINDOW_STEP), len(words) - WINDOW_WORDS]
-    return [" ".join(words[i:i + WINDOW_WORDS]) for i in starts]
+class Grid:
+    """An item's windows (starts, ends) and the pieces that they share."""
+
+    def __init__(self, item: int, text: str, spans: list[tuple[int, int]]):
+        self.item, self.text = item, text
+        self.starts = [start for start, _ in spans[:len(spans) - WINDOW_WORDS + 1]]
+        self.ends = [end for _, end in spans[WINDOW_WORDS - 1:]]
+        lengths = {b - a for a, b in zip(self.starts, self.ends, strict=True)}
+        # A window of n characters holds (n - size + 1) // size whole pieces wherever it starts.
+        self.size = next(size for size in range(PIECE_CHARS, 0, -1)
+                         if all((n - size + 1) // size > n // EDIT_CHARS for n in lengths))
+
+    def pieces(self) -> list[tuple[int, str]]:
+        return [(i, self.text[i:i + self.size]) for i in range(0, len(self.text) - self.size + 1, self.size)]
+
+    def holding(self, offset: int) -> range:
+        """The windows that hold the piece at ``offset``."""
+        return range(bisect_left(self.ends, offset + self.size), bisect_right(self.starts, offset))
 
 
 class Pattern:
@@ -93,18 +116,20 @@ class Matcher:
         import ahocorasick
 
         self.short: dict[str, list[int]] = {}
-        self.patterns: list[Pattern] = []
+        self.sources: list[Pattern | Grid] = []
         hits: dict[str, list[tuple[int, int]]] = {}
         for item, text in items:
-            if len(text.split()) < LEAST_WORDS:
+            spans = [m.span() for m in find_words(text)]
+            if len(spans) < LEAST_WORDS:
                 if text:
                     self.short.setdefault(text, []).append(item)
                 continue
-            for window in windows(text):
-                pattern = Pattern(item, window)
-                for offset, piece in pattern.pieces():
-                    hits.setdefault(piece, []).append((len(self.patterns), offset))
-                self.patterns.append(pattern)
+            sources = [Pattern(item, text)] if len(spans) <= WHOLE_WORDS else []
+            for source in sources + ([Grid(item, text, spans)] if len(spans) > WINDOW_WORDS else []):
+                for offset, piece in source.pieces():
+                    hits.setdefault(piece, []).append((len(self.sources), offset))
+                self.sources.append(source)
+        self.window = functools.lru_cache(READY)(self._window)
         self.automaton = ahocorasick.Automaton()
         for piece, places in hits.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -119,20 +144,29 @@ class Matcher:
         done, tried = set(), set()
         for end, (length, places) in self.automaton.iter(text):
             for number, offset in places:
-                if number in done:
-                    continue
-                pattern = self.patterns[number]
-                start = end - length + 1 - offset
-                if (number, start) in tried:
+                source = self.sources[number]
+                if found.get(source.item) == 0:
                     continue
-                tried.add((number, start))
-                region = text[max(0, start - pattern.budget):start + pattern.length + pattern.budget]
-                distance = pattern.distance(region)
-                if distance <= pattern.budget:
-                    done.add(number)
-                    found[pattern.item] = min(distance, found.get(pattern.item, distance))
+                whole = isinstance(source, Pattern)
+                for at in (0,) if whole else source.holding(offset):
+                    start = end - length + 1 - offset + (0 if whole else source.starts[at])
+                    if (number, at) in done or (number, at, start) in tried:
+                        continue
+                    tried.add((number, at, start))
+                    pattern = source if whole else self.window(number, at)
+                    region = text[max(0, start - pattern.budget):start + pattern.length + pattern.budget]
+                    distance = pattern.distance(region)
+                    if distance <= pattern.budget:
+                        done.add((number, at))
+                        found[source.item] = min(distance, found.get(source.item, distance))
+                        if distance == 0:
+                            break
         return found
 
+    def _window(self, number: int, at: int) -> Pattern:
+        grid = self.sources[number]
+        return Pattern(grid.item, grid.text[grid.starts[at]:grid.ends[at]])
+
 
 @functools.lru_cache(maxsize=2)
 def matcher_of(items: tuple[tuple[int, str], ...]) -> Matcher:

@@ -1,0 +1,46 @@
+"""Parts of test items, at any word, against the items that hold them."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from catrec.llm import decontam
+
+
+def words(rng, n):
+    return ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 11))) for _ in range(n)]
+
+
+@pytest.mark.parametrize(("length", "first", "count"), [(60, 13, 24), (60, 4, 22), (60, 12, 26), (28, 0, 22), (21, 1, 20), (300, 177, 20)])
+def test_verbatim_passages_are_found_at_any_word(length, first, count):
+    for seed in range(20):
+        rng = random.Random(seed)
+        items = [words(rng, length) for _ in range(3)]
+        matcher = decontam.Matcher([(i, " ".join(w)) for i, w in enumerate(items)])
+        passage = " ".join([*words(rng, 40), *items[1][first:first + count], *words(rng, 40)])
+        assert matcher.find(passage) == {1: 0}
+        assert matcher.find(" ".join(words(rng, 200))) == {}
+
+
+def test_edited_windows_are_found_within_their_budget():
+    for seed in range(30):
+        rng = random.Random(seed)
+        item = words(rng, 50)
+        window = " ".join(item[17:37])
+        text = list(window)
+        for at in range(5, len(text) // 16 * 16, 17):  # at most one edit per 16 characters
+            text[at] = "z"
+        edits = sum(a != b for a, b in zip(window, text, strict=True))
+        assert edits <= len(window) // decontam.EDIT_CHARS
+        found = decontam.Matcher([(7, " ".join(item))]).find(" ".join(words(rng, 9)) + " " + "".join(text) + " end of it")
+        assert 7 in found and found[7] <= edits
+
+
+def test_items_without_spaces_are_found_inside_texts():
+    item = "".join(chr(0x4E00 + random.Random(2).randrange(3000) + i) for i in range(60))
+    matcher = decontam.Matcher([(1, item), (2, item[5:20]), (3, item[:6])])
+    assert matcher.find("foo " + item + " bar") == {1: 0, 2: 0}
+    assert matcher.find("x" + item[10:56] + "y") == {1: 0}
+    assert matcher.find(item[:6]) == {3: 0}
