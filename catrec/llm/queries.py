@@ -1,16 +1,18 @@
-"""The ten queries opN_<name> over the given tables, and their DuckDB SQL where SQL can express them."""
+"""The queries opN_<name> over the given tables, and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catrec.llm import bpe_count, decontam, fuzzy_lines, hilbert, icws, langid, linkgraph, mixing, ppm, rabitq
+from catrec.llm import bpe_count, decontam, fuzzy_lines, hilbert, icws, langid, linkgraph, mixing, ppm, rabitq, slot_merkle
 from catrec.llm.common import table
+from catrec.llm.oracle import OP13_SQL
 
 SHARDS = 24
 TOKEN_LIMIT = 2048
 MIX_WEIGHTS = [3, 1, 2]
+LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 
@@ -76,7 +78,17 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dropped.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), "dropped")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    proofs = slot_merkle.manifest(docs, LEAF_COLUMNS, tree="lang", order="doc_id", tampered=more,
+                                  tamper=id_remainder(7) == 0)
+    folded = slot_merkle.fold(F.col("tampered_leaf"), F.col("path"))
+    return proofs.select("doc_id", "leaf", "subroot", "root", slot_merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_lm_score, op4_token_counts, op5_sharding,
                                    op6_minhash_dedup, op7_embedding_dedup, op8_source_mixing, op9_url_filter,
-                                   op10_fuzzy_lines)}
-ORACLE_SQL: dict[str, str] = {}
+                                   op10_fuzzy_lines, op13_merkle_manifest)}
+ORACLE_SQL: dict[str, str] = {"op13_merkle_manifest": OP13_SQL}
