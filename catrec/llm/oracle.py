@@ -62,3 +62,23 @@ folded AS (
   LEFT JOIN paths s ON s.lang IS NOT DISTINCT FROM p.lang AND s.leaf_pos = p.pos)
 SELECT *, folded_root = root AS verified FROM folded
 """
+
+TERMS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+OP11_SQL = f"""
+WITH
+docs AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+items AS (SELECT row_number() OVER () AS i, item_id, list_distinct({TERMS}) AS terms FROM benchmark WHERE text IS NOT NULL),
+stats AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs WHERE len(terms) > 0),
+counts AS (SELECT r, doc_id, term, len AS n, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(terms)::BIGINT AS len, unnest(terms) AS term FROM docs) GROUP BY r, doc_id, term, len),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counts, stats GROUP BY term, n_docs),
+wanted AS (SELECT i, item_id, unnest(terms) AS term FROM items),
+scored AS (SELECT i, item_id, r, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM wanted JOIN counts USING (term) JOIN weights USING (term), stats GROUP BY i, item_id, r, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""

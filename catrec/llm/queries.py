@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catrec.llm import bpe_count, decontam, fuzzy_lines, hilbert, icws, langid, linkgraph, mixing, ppm, rabitq, slot_merkle
+from catrec.llm import bpe_count, decontam, fuzzy_lines, hilbert, icws, impact_search, langid, linkgraph, mixing, ppm, rabitq, slot_merkle
 from catrec.llm.common import table
-from catrec.llm.oracle import OP13_SQL
+from catrec.llm.oracle import OP11_SQL, OP13_SQL
 
 SHARDS = 24
 TOKEN_LIMIT = 2048
@@ -78,6 +78,10 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dropped.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), "dropped")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
@@ -90,5 +94,5 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_lm_score, op4_token_counts, op5_sharding,
                                    op6_minhash_dedup, op7_embedding_dedup, op8_source_mixing, op9_url_filter,
-                                   op10_fuzzy_lines, op13_merkle_manifest)}
-ORACLE_SQL: dict[str, str] = {"op13_merkle_manifest": OP13_SQL}
+                                   op10_fuzzy_lines, op11_ranked_search, op13_merkle_manifest)}
+ORACLE_SQL: dict[str, str] = {"op11_ranked_search": OP11_SQL, "op13_merkle_manifest": OP13_SQL}
