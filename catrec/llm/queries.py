@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catrec.llm import bpe_count, decontam, fuzzy_lines, hilbert, icws, impact_search, langid, linkgraph, mixing, ppm, rabitq, slot_merkle
+from catrec.llm import bpe_count, decontam, fuzzy_lines, grouping_pack, hilbert, icws, impact_search, langid, linkgraph, mixing, ppm, rabitq, slot_merkle
 from catrec.llm.common import table
 from catrec.llm.oracle import OP11_SQL, OP13_SQL
 
 SHARDS = 24
 TOKEN_LIMIT = 2048
+SEQUENCE_TOKENS = 4096
+END_ID = 1
 MIX_WEIGHTS = [3, 1, 2]
 LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -82,6 +84,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impact_search.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouping_pack.pack_documents(table(spark, sf_dir, "documents"), vocabulary_path(), SEQUENCE_TOKENS, END_ID)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
@@ -94,5 +100,5 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_lm_score, op4_token_counts, op5_sharding,
                                    op6_minhash_dedup, op7_embedding_dedup, op8_source_mixing, op9_url_filter,
-                                   op10_fuzzy_lines, op11_ranked_search, op13_merkle_manifest)}
+                                   op10_fuzzy_lines, op11_ranked_search, op12_best_fit_packing, op13_merkle_manifest)}
 ORACLE_SQL: dict[str, str] = {"op11_ranked_search": OP11_SQL, "op13_merkle_manifest": OP13_SQL}
