@@ -26,6 +26,7 @@ import functools
 import json
 import os
 import random
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,8 +42,8 @@ PROBLEM = 2048
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 3, 12, 6
 #: Bins filled below this share of the capacity are packed anew in the next round.
 WELL_FILLED = 0.98
-#: Words whose ids a worker remembers (the memory is emptied when full) and the bytes of the longest of them.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 64
+#: Words whose ids a worker remembers (the memory is emptied when full), and the length of the longest.
+REMEMBERED, REMEMBERED_LENGTH = 1_000_000, 64
 
 
 # ---------------------------------------------------------------- pieces
@@ -52,7 +53,7 @@ def breaks_at_space(spec: dict) -> bool:
     pre = spec.get("pre_tokenizer") or {}
     first = (pre.get("pretokenizers") or [pre])[0]
     dropped = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") and \
-        "[^\\s" in str(first.get("pattern"))
+        "[^\\s" in str((first.get("pattern") or {}).get("Regex"))
     kinds = {x.get("type") for x in [spec.get("normalizer") or {}, *(spec.get("normalizer") or {}).get("normalizers", [])]}
     added = all(not (x["lstrip"] or x["rstrip"] or x["single_word"] or x["content"].split() != [x["content"]])
                 for x in spec.get("added_tokens", []))
@@ -60,32 +61,99 @@ def breaks_at_space(spec: dict) -> bool:
                 kinds <= {"Sequence", "NFC", "Replace", "Lowercase", None})
 
 
-class WordIds(dict):
-    """Ids (little-endian unsigned 32-bit) by the UTF-8 bytes of a word."""
-
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        data = np.array(ids, "<u4").tobytes()
-        if len(word) <= REMEMBERED_BYTES:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = data
-        return data
+#: The word pattern for which plain chunks can be cut here (a fixed value of the vocabulary files).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: A text without these is lower-cased letter by letter, has one normal form and falls into PLAIN_WORDS.
+NOT_PLAIN = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]|<[|]").search
+PLAIN_WORDS = re.compile("[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+").findall
+CHUNKS = re.compile("[^\t-\r ]+").findall
+#: Words that are encoded at a time.
+ENCODED = 5_000
+
+
+class SpacedEncoder:
+    """Texts -> ids (little-endian unsigned 32-bit), for vocabularies in which white space only parts words.
+
+    A plain text's ids are those of its words, any other's those of its chunks
+    between spaces.  Words and chunks are remembered; new words go to the
+    library many at a time, and each ends where a token ends a word.
+    """
+
+    def __init__(self, tokenizer, spec: dict):
+        self.tokenizer, self.known = tokenizer, {}
+        model = spec["model"]
+        suffix = model.get("end_of_word_suffix")
+        pre = spec["pre_tokenizer"]
+        pattern = (pre.get("pretokenizers") or [pre])[0]["pattern"].get("Regex")
+        self.ends = None
+        if suffix and pattern == WORD_PATTERN:
+            self.ends = np.zeros(1 + max([*model["vocab"].values(), *(x["id"] for x in spec["added_tokens"])]), bool)
+            self.ends[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def odd(self, text: str) -> bool:
+        return self.ends is None or bool(NOT_PLAIN(text))
+
+    def parts(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if not self.odd(text):
+            return PLAIN_WORDS(text.lower())
+        found = []
+        for chunk in CHUNKS(text):
+            if self.odd(chunk):
+                found.append(chunk)
+            else:
+                found += PLAIN_WORDS(chunk.lower())
+        return found
+
+    def learn(self, new: set[str]) -> None:
+        words = []
+        for x in new:
+            # Most are plain ASCII words, told without the pattern.
+            if self.ends is None or not (x.isascii() and x.isprintable() and "<|" not in x) and self.odd(x):
+                self.known[x] = self.encode(x).tobytes()
+            else:
+                words.append(x)
+        for start in range(0, len(words), ENCODED):
+            part = words[start:start + ENCODED]
+            ids = self.encode(" ".join(part))
+            data, low = ids.tobytes(), 0
+            for word, high in zip(part, (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist(), strict=True):
+                self.known[word] = data[low:high]
+                low = high
+
+    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        parts = [self.parts(text) for text in texts]
+        new = set().union(*parts).difference(known)
+        self.learn(new)
+        for words in parts:
+            yield b"".join(map(known.__getitem__, words))
+        for x in [x for x in new if len(x) > REMEMBERED_LENGTH]:
+            del known[x]
 
 
 @functools.cache
 def encoder_of(spec: str):
-    """Text bytes -> id bytes; one per worker process, so that its memory of words lasts over tasks."""
+    """Texts -> their ids; one per worker process, so that its memory of words lasts over tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    known = WordIds(Tokenizer.from_str(spec))
-    if breaks_at_space(json.loads(spec)):
-        return lambda text: b"".join(map(known.__getitem__, text.split()))
-    return lambda text: known.__missing__(text)
+    tokenizer, data = Tokenizer.from_str(spec), json.loads(spec)
+    if breaks_at_space(data):
+        return SpacedEncoder(tokenizer, data)
+
+    def whole(texts: list[str | None]) -> Iterator[bytes]:
+        for text in texts:
+            ids = tokenizer.encode(text, add_special_tokens=False).ids if text else []
+            yield np.array(ids, "<u4").tobytes()
+
+    return whole
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_column: str = "doc_id",
@@ -100,8 +168,8 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, i
         encode = encoder_of(spec.value)
         for chunk in text_chunks(batches, "text"):
             owner, piece, size, crc, held = [], [], [], [], []
-            for row, text in enumerate(chunk.column("text").to_pylist()):
-                data = (encode(text) if text else b"") + end
+            for row, data in enumerate(encode(chunk.column("text").to_pylist())):
+                data += end
                 for k, at in enumerate(range(0, len(data), step)):
                     part = data[at:at + step]
                     owner.append(row)
@@ -114,7 +182,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, i
                        pa.array([k * capacity for k in piece], pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(held, pa.binary())] * ids, names=names)
 
-    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
+    source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     schema = widened(source.select("id").schema, "piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids)
     names = schema.names
     return source.mapInArrow(cut, schema)
@@ -286,11 +354,15 @@ def pack_round(pieces: DataFrame, count: int, capacity: int, round_: int) -> Dat
                    .select("problem", "items.pid", F.col("items.length").cast("array<int>").alias("sizes")))
     islands = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island")
     states = posed.select("problem", "sizes", islands, F.lit(None).cast("array<binary>").alias("population"))
-    states = epoch(states, capacity, 0, round_, tasks)
+    states, rested = epoch(states, capacity, 0, round_, tasks), None
     for number in range(1, EPOCHS):
-        if states.groupBy("problem").agg((F.min("bins") > F.max("bound")).alias("open")).where("open").isEmpty():
+        still = stored(states.groupBy("problem").agg((F.min("bins") > F.max("bound")).alias("open")).where("open"))
+        if still.isEmpty():
             break
-        states = epoch(migrated(states), capacity, number, round_, tasks)
+        closed = states.join(still, "problem", "left_anti")
+        rested = closed if rested is None else rested.union(closed)
+        states = epoch(migrated(states.join(still, "problem", "left_semi")), capacity, number, round_, tasks)
+    states = states if rested is None else states.unionByName(rested)
     best = states.groupBy("problem").agg(F.min_by(F.col("population")[0], F.struct("bins", -F.col("spread"), "island")).alias("best"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
