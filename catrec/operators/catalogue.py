@@ -54,6 +54,10 @@ class Metastore:
             partition_keys=tables["PARTITION_KEYS"], table_params=tables["TABLE_PARAMS"],
         )
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {"DBS": self.dbs, "TBLS": self.tbls, "SDS": self.sds, "COLUMNS_V2": self.columns,
+                "PARTITION_KEYS": self.partition_keys, "TABLE_PARAMS": self.table_params}
+
 
 # Sort key first, so sort_array orders by position, then by name as a
 # deterministic tie-break.  The field struct itself holds a map and is

@@ -124,3 +124,19 @@ def metastore_from_test_data(spark: SparkSession, sf_dir: str, revision: int = 0
         .otherwise(F.col("props")).alias("PARAM_VALUE"),
     )
     return Metastore(dbs=dbs, tbls=tbls, sds=sds, columns=columns, partition_keys=partition_keys, table_params=params)
+
+
+def other_relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The relations that a snapshot holds besides the six of the transform."""
+    t = lambda name: read_test_table(spark, sf_dir, name)
+    return {
+        "DATABASE_PARAMS": t("nation").select(
+            F.col("n_nationkey").cast("long").alias("DB_ID"), F.lit("region").alias("PARAM_KEY"),
+            F.col("n_regionkey").cast("string").alias("PARAM_VALUE")),
+        "SERDES": t("supplier").select(
+            F.col("s_suppkey").cast("long").alias("SERDE_ID"), F.col("s_name").alias("NAME"),
+            F.when(F.col("s_nationkey") % 5 != 0, F.concat(F.lit("lib "), F.col("s_nationkey").cast("string"))).alias("SLIB")),
+        "SERDE_PARAMS": t("part").select(
+            F.col("p_partkey").cast("long").alias("SERDE_ID"), F.col("p_brand").alias("PARAM_KEY"),
+            F.col("p_name").alias("PARAM_VALUE")),
+    }

@@ -9,8 +9,11 @@ configured folder the data is persisted instead (recomputable from lineage).
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(df: DataFrame) -> str | None:
@@ -38,3 +41,17 @@ def materialize(df: DataFrame) -> DataFrame:
     checkpointed = persisted.checkpoint(eager=True)
     persisted.unpersist()
     return checkpointed
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the session's checkpoint folder, for files that a query writes and reads back.
+
+    Where none is set, a session whose tasks all run in this process gets a
+    folder of this machine; on a cluster that would scatter the files, so it fails.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="catrec-", dir="/tmp")
+    return f"{configured.rstrip('/')}/{name}-{uuid.uuid4().hex}"

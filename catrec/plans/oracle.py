@@ -439,7 +439,7 @@ FROM (SELECT count(expected) AS baseline_aspects, count(actual) AS candidate_asp
 # Leaves that differ: nodes whose parent is an object on both sides (reached
 # through objects only, never through an array) and that are not objects on
 # both sides themselves (json_tree walks each document).
-_DIFFERENCES = """,
+_DIFF_CTES = """,
 DIFF AS (SELECT entity, aspect, expected, actual FROM PAIRS WHERE expected <> actual),
 E AS (SELECT d.entity, d.aspect, t.fullkey, t.path AS parent, t.type, t.value FROM DIFF d, json_tree(d.expected) t),
 A AS (SELECT d.entity, d.aspect, t.fullkey, t.path AS parent, t.type, t.value FROM DIFF d, json_tree(d.actual) t),
@@ -449,7 +449,9 @@ N AS (
     e.type AS e_type, a.type AS a_type, e.value AS e_val, a.value AS a_val
   FROM E e FULL OUTER JOIN A a ON e.entity = a.entity AND e.aspect = a.aspect AND e.fullkey = a.fullkey),
 OBJ AS (SELECT entity, aspect, fullkey FROM N
-        WHERE e_type = 'OBJECT' AND a_type = 'OBJECT' AND NOT contains(fullkey, '['))
+        WHERE e_type = 'OBJECT' AND a_type = 'OBJECT' AND NOT contains(fullkey, '['))"""
+
+_DIFF_SELECT = """
 SELECT n.entity, n.aspect, CASE WHEN n.fullkey = '$' THEN '$' ELSE substr(n.fullkey, 3) END AS path,
   coalesce(n.e_val, '"<missing>"') AS expected, coalesce(n.a_val, '"<missing>"') AS actual
 FROM N n LEFT JOIN OBJ o ON n.entity = o.entity AND n.aspect = o.aspect AND n.parent = o.fullkey
@@ -458,6 +460,43 @@ WHERE NOT coalesce(n.e_type = 'OBJECT' AND n.a_type = 'OBJECT', FALSE)
   AND (n.e_val IS NULL OR n.a_val IS NULL OR n.e_val <> n.a_val)"""
 
 
+_LISTINGS = f"""
+SELECT kind, row_number() OVER (PARTITION BY kind ORDER BY side NULLS FIRST, entity, aspect, path) AS position, entity, aspect, path
+FROM (SELECT 'missing' AS kind, NULL AS side, entity, aspect, NULL AS path FROM PAIRS WHERE actual IS NULL
+  UNION ALL SELECT 'extra', NULL, entity, aspect, NULL FROM PAIRS WHERE expected IS NULL
+  UNION ALL SELECT 'duplicates', 'baseline', entity, aspect, NULL FROM PAIRS WHERE bc
+  UNION ALL SELECT 'duplicates', 'candidate', entity, aspect, NULL FROM PAIRS WHERE cc
+  UNION ALL SELECT 'differences', NULL, entity, aspect, path FROM ({_DIFF_SELECT}))"""
+
+
+def fingerprint_sql(*columns: str) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    return f"CAST('0x' || left(md5({text}), 8) AS BIGINT)"
+
+
+SNAPSHOT_COLUMNS = {
+    "DBS": ("DB_ID", "NAME"),
+    "TBLS": ("TBL_ID", "DB_ID", "SD_ID", "TBL_NAME", "TBL_TYPE", "CREATE_TIME", "VIEW_EXPANDED_TEXT", "VIEW_ORIGINAL_TEXT"),
+    "SDS": ("SD_ID", "CD_ID", "LOCATION"),
+    "COLUMNS_V2": ("CD_ID", "COLUMN_NAME", "TYPE_NAME", "INTEGER_IDX", "COMMENT"),
+    "PARTITION_KEYS": ("TBL_ID", "PKEY_NAME", "PKEY_TYPE", "INTEGER_IDX", "PKEY_COMMENT"),
+    "TABLE_PARAMS": ("TBL_ID", "PARAM_KEY", "PARAM_VALUE"),
+    "DATABASE_PARAMS": ("n_nationkey", "'region'", "n_regionkey"),
+    "SERDES": ("s_suppkey", "s_name", "CASE WHEN s_nationkey % 5 <> 0 THEN 'lib ' || CAST(s_nationkey AS VARCHAR) END"),
+    "SERDE_PARAMS": ("p_partkey", "p_brand", "p_name"),
+}
+OTHER_RELATIONS = {"DATABASE_PARAMS": "nation", "SERDES": "supplier", "SERDE_PARAMS": "part"}
+
+
+def snapshot_sql() -> str:
+    """What each relation of a snapshot must hold after the round trip."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS relation, count(*) AS rows, count(*) AS manifest_rows, "
+        f"CAST(coalesce(sum({fingerprint_sql(*columns)}), 0) AS BIGINT) AS checksum, "
+        f"true AS bounded, true AS files_told FROM {OTHER_RELATIONS.get(name, name)}"
+        for name, columns in SNAPSHOT_COLUMNS.items())
+
+
 def reconcile_sql(o: CatalogueOptions, select: str, exact: bool = False, strict: bool = False) -> str:
     index = (_exact_index_ctes("B_") + "," + _exact_index_ctes("C_")) if exact else (
         _index_ctes("B_", o, strict) + "," + _index_ctes("C_", o, strict))
@@ -484,12 +523,25 @@ def oracle_queries_more() -> dict[str, str]:
             f"SELECT records, total_bytes, greatest(1, CAST(ceil(total_bytes / {SIZING_LIMIT}) AS BIGINT)) AS files FROM ("
             f"SELECT count(*) AS records, CAST(sum(octet_length(encode({record_text_sql()})) + 2) AS BIGINT) AS total_bytes "
             "FROM ALL_EVENTS)"),
+        "record_file_layout": cat(
+            "SELECT place // {0} AS file_id, count(*) AS records, CAST(sum(size) AS BIGINT) AS bytes FROM ("
+            "SELECT size, CAST(sum(size) OVER (ORDER BY left(md5(value), 4), entity_urn, aspect_name, value "
+            "ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS place FROM ("
+            "SELECT *, octet_length(encode(value)) + 2 AS size FROM (SELECT entity_urn, aspect_name, {1} AS value FROM ALL_EVENTS))) "
+            "GROUP BY file_id".format(SIZING_LIMIT, record_text_sql())),
+        "record_round_trip": cat(
+            "SELECT layout, entity_type, aspect_name, count(*) AS records, "
+            "CAST(sum(octet_length(encode(aspect_value))) AS BIGINT) AS aspect_bytes, "
+            f"CAST(sum({fingerprint_sql('entity_urn', 'aspect_value')}) AS BIGINT) AS checksum "
+            "FROM ALL_EVENTS, (VALUES ('array'), ('lines'), ('spread')) l(layout) GROUP BY layout, entity_type, aspect_name"),
+        "snapshot_round_trip": with_adapter(snapshot_sql()),
         "flatten_records": cat(
             "SELECT entity_type, entity_urn AS urn, aspect_name, aspect_value AS aspect FROM ALL_EVENTS"),
         "reconcile_summary": reconcile_sql(o, _SUMMARY),
         "reconcile_missing": reconcile_sql(o, "\nSELECT entity, aspect FROM PAIRS WHERE actual IS NULL"),
         "reconcile_extra": reconcile_sql(o, "\nSELECT entity, aspect FROM PAIRS WHERE expected IS NULL"),
-        "reconcile_differences": reconcile_sql(o, _DIFFERENCES),
+        "reconcile_differences": reconcile_sql(o, _DIFF_CTES + _DIFF_SELECT),
+        "report_rows": reconcile_sql(o, _DIFF_CTES + _LISTINGS),
         "reconcile_duplicates": reconcile_sql(
             o, "\nSELECT 'baseline' AS side, entity, aspect FROM PAIRS WHERE bc "
                "UNION ALL SELECT 'candidate' AS side, entity, aspect FROM PAIRS WHERE cc"),

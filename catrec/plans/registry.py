@@ -19,10 +19,13 @@ from catrec.operators import catalogue as C
 from catrec.operators import events as E
 from catrec.operators.gates import duplicate_keys
 from catrec.operators.reconcile import Diff, diff_records
-from catrec.sinks.records import encoded_size, record_json
-from catrec.sources.records import flatten_records, parse_envelope_lines, records_from_events
-from catrec.plans.adapter import metastore_from_test_data, read_test_table
-from catrec.plans.materialize import materialize
+from catrec.sinks.records import encoded_size, file_layout, record_json, write_records
+from catrec.sinks.snapshot import write_snapshot
+from catrec.sources.records import flatten_records, parse_envelope_lines, read_records, records_from_events
+from catrec.sources.snapshot import check_manifest, read_manifest, read_table
+from catrec.plans.compare import read_listings, write_report
+from catrec.plans.adapter import metastore_from_test_data, other_relations, read_test_table
+from catrec.plans.materialize import materialize, work_folder
 from catrec.options import CatalogueOptions
 
 # Options of the registered queries: the settings of the reference's own
@@ -34,6 +37,8 @@ QUERY_OPTIONS = CatalogueOptions(
 # Unanchored pattern: matches NATION_1 and NATION_10 .. NATION_19.
 FILTER_OPTIONS = CatalogueOptions(env="UAT", database_pattern="_1")
 SIZING_LIMIT = 64 * 1024
+ROUND_TRIP_LIMIT = 4 << 20
+SNAPSHOT_ROWS = 5000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,6 +182,55 @@ def q_output_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_record_file_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return file_layout(_events(spark, sf_dir), SIZING_LIMIT)
+
+
+def fingerprint(*parts):
+    """32 bits of an md5, as a number to be summed up: equal sums for equal sets of rows, in any order."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def q_record_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records written and read back in three layouts: size-packed arrays of
+    one record a line, JSON lines, and size-packed arrays of indented records."""
+    events = materialize(_events(spark, sf_dir))
+    out = None
+    for layout in ("array", "lines", "spread"):
+        path = work_folder(spark, f"records-{layout}")
+        if layout == "lines":
+            record_json(events).select("value").write.text(path)
+        else:
+            write_records(events, path, ROUND_TRIP_LIMIT, indent=layout == "spread")
+        back = read_records(spark, path).select(F.lit(layout).alias("layout"), "entity_type", "urn", "aspect_name", "aspect")
+        out = back if out is None else out.unionByName(back)
+    return out.groupBy("layout", "entity_type", "aspect_name").agg(
+        F.count(F.lit(1)).alias("records"), F.sum(F.octet_length("aspect").cast("long")).alias("aspect_bytes"),
+        F.sum(fingerprint("urn", "aspect")).alias("checksum"))
+
+
+def q_snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relations dumped as a snapshot, gated by its manifest and read back."""
+    tables = {**metastore_from_test_data(spark, sf_dir).tables(), **other_relations(spark, sf_dir)}
+    root = write_snapshot(spark, tables, work_folder(spark, "snapshots"), "snapshot", rows_per_file=SNAPSHOT_ROWS)
+    check_manifest(spark, root)
+    told = read_manifest(spark, root).select(F.explode("tables").alias("t")).select(
+        F.col("t.table").alias("relation"), F.col("t.rows").alias("manifest_rows"), F.col("t.files").alias("files"))
+    out = None
+    for name in tables:
+        columns = tables[name].columns
+        files = read_table(spark, root, name).select(*columns, F.col("_metadata.file_path").alias("file_")) \
+            .groupBy("file_").agg(F.count(F.lit(1)).alias("n"), F.sum(fingerprint(*columns)).alias("sum"))
+        whole = files.agg(F.lit(name).alias("relation"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                          F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.count(F.lit(1)).alias("read_files"),
+                          F.coalesce(F.sum("sum"), F.lit(0)).alias("checksum"))
+        out = whole if out is None else out.unionByName(whole)
+    return out.join(told, "relation").select(
+        "relation", "rows", "manifest_rows", "checksum", (F.col("most") <= SNAPSHOT_ROWS).alias("bounded"),
+        (F.col("files") == F.greatest("read_files", F.lit(1))).alias("files_told"))
+
+
 # Class-name package used when re-packing dataset aspects into bundles.
 BUNDLE_CLASS = "com.linkedin.pegasus2avro.metadata.snapshot.DatasetSnapshot"
 ASPECT_CLASS_PREFIX = "com.linkedin.pegasus2avro.aspect."
@@ -240,6 +294,13 @@ def q_reconcile_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile_test_data(spark, sf_dir).duplicates
 
 
+def q_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's four sorted listings, written and read back."""
+    path = work_folder(spark, "report")
+    write_report(spark, reconcile_test_data(spark, sf_dir), path)
+    return read_listings(spark, path).select("kind", "position", "entity", "aspect", "path")
+
+
 def q_reconcile_exact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile_test_data(spark, sf_dir, mode="exact").summary
 
@@ -267,12 +328,16 @@ QUERIES: dict[str, Query] = {
     "normalized_values": q_normalized_values,
     "run_summary": q_run_summary,
     "output_sizing": q_output_sizing,
+    "record_file_layout": q_record_file_layout,
+    "record_round_trip": q_record_round_trip,
+    "snapshot_round_trip": q_snapshot_round_trip,
     "flatten_records": q_flatten_records,
     "reconcile_summary": q_reconcile_summary,
     "reconcile_missing": q_reconcile_missing,
     "reconcile_extra": q_reconcile_extra,
     "reconcile_differences": q_reconcile_differences,
     "reconcile_duplicates": q_reconcile_duplicates,
+    "report_rows": q_report_rows,
     "reconcile_exact_summary": q_reconcile_exact_summary,
     "reconcile_strict_summary": q_reconcile_strict_summary,
 }

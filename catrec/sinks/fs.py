@@ -7,8 +7,12 @@ through here; data is always written by Spark tasks.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+RENAMING_THREADS = 32
+
 
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -41,6 +45,12 @@ def rename(spark: SparkSession, directory: str, source: str, target: str) -> Non
         raise OSError(f"could not rename {source} to {target} in {directory}")
 
 
+def rename_all(spark: SparkSession, directory: str, targets: dict[str, str]) -> None:
+    """Rename many files of a directory; the calls wait for the file system, so they run side by side."""
+    with ThreadPoolExecutor(max_workers=RENAMING_THREADS) as pool:
+        list(pool.map(lambda names: rename(spark, directory, *names), [x for x in targets.items() if x[0] != x[1]]))
+
+
 def delete(spark: SparkSession, directory: str, name: str, recursive: bool = True) -> None:
     fs, hpath = _filesystem(spark, directory)
     fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hpath, name), recursive)
@@ -60,26 +70,6 @@ def write_bytes(spark: SparkSession, path: str, data: bytes, overwrite: bool = F
         stream.close()
 
 
-def head_text(spark: SparkSession, path: str, size: int = 16) -> str:
-    """First ``size`` bytes of a file after leading whitespace, as text
-    (enough to tell JSON lines, line-per-element arrays and other arrays
-    apart)."""
-    fs, hpath = _filesystem(spark, path)
-    stream = fs.open(hpath)
-    try:
-        out = bytearray()
-        while len(out) < size:
-            value = stream.read()
-            if value < 0:
-                break
-            if not out and chr(value).isspace():
-                continue
-            out.append(value)
-        return out.decode("utf-8", "ignore")
-    finally:
-        stream.close()
-
-
 def list_tree(spark: SparkSession, path: str) -> list[str]:
     """All files below ``path`` (or ``path`` itself when it is a file),
     skipping files whose own name starts with ``_`` or ``.``."""

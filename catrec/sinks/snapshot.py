@@ -2,7 +2,7 @@
 
 Per table: values are normalised to JSON-safe types (bytes -> UTF-8 text,
 dates/timestamps -> ISO strings, decimals -> strings), nulls are written
-explicitly, files are sharded at ``rows_per_file`` by the writer itself
+explicitly, tables are dumped by concurrent jobs, files are sharded at ``rows_per_file`` by the writer itself
 (``maxRecordsPerFile``) and renamed ``part-%05d.jsonl.gz``.  Row counts come
 from an ``observe`` on the write (no second pass).  The manifest is written
 last, also when a table fails, and says ``complete: true`` only when every
@@ -14,6 +14,7 @@ from __future__ import annotations
 import gzip
 import json
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -23,6 +24,8 @@ from catrec.functions.values import normalize_row_values
 from catrec.sinks import fs
 from catrec.sources.jdbc import validate_table_name
 
+#: Tables dumped at the same time, so that a small one doesn't wait for the tail of a large one.
+DUMPS_AT_ONCE = 4
 SNAPSHOT_PART_FORMAT = "part-{:05d}.jsonl.gz"
 
 
@@ -38,10 +41,7 @@ def finalize_table_dir(spark: SparkSession, path: str) -> int:
     for name, _, _ in entries:
         if name not in parts:
             fs.delete(spark, path, name)
-    for index, name in enumerate(parts):
-        target = SNAPSHOT_PART_FORMAT.format(index)
-        if name != target:
-            fs.rename(spark, path, name, target)
+    fs.rename_all(spark, path, {name: SNAPSHOT_PART_FORMAT.format(index) for index, name in enumerate(parts)})
     if not parts:
         fs.write_bytes(spark, f"{path.rstrip('/')}/{SNAPSHOT_PART_FORMAT.format(0)}", gzip.compress(b""))
         return 1
@@ -74,10 +74,14 @@ def write_snapshot(
         "consistent_snapshot": consistent_snapshot, "tables": [], "complete": False,
     }
     try:
-        for name, df in tables.items():
+        for name in tables:
             validate_table_name(name)
-            result = dump_table(spark, df, f"{root}/{name}", rows_per_file)
-            manifest["tables"].append({"table": name, **result})
+        with ThreadPoolExecutor(max_workers=DUMPS_AT_ONCE) as pool:
+            dumps = {name: pool.submit(dump_table, spark, df, f"{root}/{name}", rows_per_file) for name, df in tables.items()}
+        # A table that failed fails the snapshot, after the others are told.
+        manifest["tables"] = [{"table": name, **dump.result()} for name, dump in dumps.items() if not dump.exception()]
+        for dump in dumps.values():
+            dump.result()
         manifest["complete"] = True
         manifest["completed_at"] = _now()
         return root
