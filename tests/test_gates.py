@@ -1,3 +1,5 @@
+"""Gates: what a transform refuses, on catalogues that differ from the fixture in one relation."""
+
 import json
 import os
 
@@ -7,67 +9,43 @@ from catrec.operators.gates import GateError
 from catrec.options import CatalogueOptions
 from catrec.plans.transform import transform_snapshot
 from catrec.sources.records import read_records
-from tests.fixtures import create_snapshot, write_table
-
-OPTIONS = CatalogueOptions(env="UAT")
-
-
-def replace_table(root, name, rows):
-    directory = os.path.join(root, name)
-    for f in os.listdir(directory):
-        os.remove(os.path.join(directory, f))
-    os.rmdir(directory)
-    write_table(root, name, rows)
-
+from tests.fixtures import ATTIC, DEPOT, DEPOT_RECORDS, create_snapshot
 
-def test_duplicate_table_ids_are_rejected(spark, scratch):
-    root = create_snapshot(os.path.join(scratch, "s"))
-    replace_table(root, "TBLS", [
-        {"TBL_ID": 10, "DB_ID": 1, "SD_ID": 20, "TBL_NAME": "a"},
-        {"TBL_ID": 10, "DB_ID": 2, "SD_ID": 21, "TBL_NAME": "b"},
-    ])
-    with pytest.raises(GateError, match="duplicate"):
-        transform_snapshot(spark, root, os.path.join(scratch, "o"), OPTIONS)
+ALL = CatalogueOptions(env="UAT")
+DEPOT_ONLY = CatalogueOptions(env="UAT", database_pattern="^depot$")
 
 
-def test_duplicate_database_ids_only_count_after_the_filter(spark, scratch):
-    root = create_snapshot(os.path.join(scratch, "s"))
-    replace_table(root, "DBS", [{"DB_ID": 1, "NAME": "hive"}, {"DB_ID": 1, "NAME": "other"}])
-    with pytest.raises(GateError, match="duplicate"):
-        transform_snapshot(spark, root, os.path.join(scratch, "o"), OPTIONS)
-    out = os.path.join(scratch, "o2")
-    summary = transform_snapshot(spark, root, out, CatalogueOptions(env="UAT", database_pattern="^hive$"))
-    assert summary.databases == 1
+def run(spark, scratch, options, name="out", **relations):
+    root = create_snapshot(os.path.join(scratch, f"of-{name}"), **relations)
+    return transform_snapshot(spark, root, os.path.join(scratch, name), options)
 
 
-def test_names_with_urn_delimiters_are_rejected(spark, scratch):
-    root = create_snapshot(os.path.join(scratch, "s"))
-    replace_table(root, "TBLS", [{"TBL_ID": 10, "DB_ID": 1, "SD_ID": 20, "TBL_NAME": "bad,name"}])
-    with pytest.raises(GateError, match="delimiter"):
-        transform_snapshot(spark, root, os.path.join(scratch, "o"), OPTIONS)
+@pytest.mark.parametrize(("relation", "rows", "message"), [
+    ("TBLS", ("TBL_ID DB_ID TBL_NAME", [(3, DEPOT, "x"), (3, ATTIC, "y")]), "duplicate"),
+    ("DBS", ("DB_ID NAME", [(DEPOT, "depot"), (DEPOT, "depot two")]), "duplicate"),
+    ("TBLS", ("TBL_ID DB_ID TBL_NAME", [(3, DEPOT, "x"), (4, DEPOT, "left(right")]), "delimiter"),
+])
+def test_gates_stop_the_transform(spark, scratch, relation, rows, message):
+    with pytest.raises(GateError, match=message):
+        run(spark, scratch, ALL, **{relation: rows})
+    assert not os.path.exists(os.path.join(scratch, "out"))
 
 
-def test_database_without_tables_still_emits_its_container(spark, scratch):
-    root = create_snapshot(os.path.join(scratch, "s"))
-    summary = transform_snapshot(spark, root, os.path.join(scratch, "o"), OPTIONS)
-    # pattern ".*": both databases; "ignored" has one table.
-    assert summary.databases == 2 and summary.tables == 3
-    assert summary.mcps == 5 + 2 * 6 + 3 * 6 + 1
+def test_an_id_repeated_among_databases_that_are_filtered_out_is_no_matter(spark, scratch):
+    rows = ("DB_ID NAME", [(DEPOT, "depot"), (DEPOT, "store"), (ATTIC, "attic")])
+    assert run(spark, scratch, DEPOT_ONLY, DBS=rows).databases == 1
 
 
-def test_pretty_printed_array_input(spark, scratch):
-    path = os.path.join(scratch, "pretty.json")
-    records = [{"entityType": "dataset", "entityUrn": f"urn:li:dataset:{i}", "aspectName": "status",
-                "aspect": {"removed": False}} for i in range(5)]
-    with open(path, "w") as stream:
-        json.dump(records, stream, indent=2)
-    assert read_records(spark, path).count() == 5
+def test_every_exported_database_has_its_container(spark, scratch):
+    whole = run(spark, scratch, ALL)
+    assert (whole.databases, whole.tables, whole.mcps) == (2, 5, DEPOT_RECORDS + 6 + 6)
+    bare = run(spark, scratch, ALL, "bare", TBLS=("TBL_ID DB_ID TBL_NAME", []))
+    assert (bare.databases, bare.tables, bare.mcps) == (2, 0, 5 + 2 * 6)
 
 
-def test_corrupt_line_is_rejected(spark, scratch):
-    directory = os.path.join(scratch, "in")
-    os.makedirs(directory)
-    with open(os.path.join(directory, "part-00000"), "w") as stream:
-        stream.write('{"entityUrn": "u", "aspectName": "status", "aspect": {}}\n{not json\n')
+@pytest.mark.parametrize("text", ['{"a": ', "[1, 2]", "nothing", '{"entityUrn": "u"} trailing'])
+def test_text_that_is_no_record_fails_the_read(spark, scratch, text):
+    with open(os.path.join(scratch, "part-7"), "w") as out:
+        out.write(json.dumps({"entityUrn": "u", "aspectName": "status", "aspect": {}}) + "\n" + text + "\n")
     with pytest.raises(Exception, match="not a JSON object|neither an MCP"):
-        read_records(spark, directory).collect()
+        read_records(spark, scratch).collect()

@@ -7,17 +7,17 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import compare as compare_job  # noqa: E402
 import transform as transform_job  # noqa: E402
 
-from tests.fixtures import create_snapshot  # noqa: E402
+from tests.fixtures import DEPOT_RECORDS, create_snapshot  # noqa: E402
 
 
 def test_transform_and_compare_clis(spark, scratch, capsys):
     snapshot = create_snapshot(os.path.join(scratch, "snap"))
     first, second = os.path.join(scratch, "a"), os.path.join(scratch, "b")
     assert transform_job.main(["--snapshot", snapshot, "--output", first, "--env", "UAT",
-                               "--database-pattern", "^hive$", "--max-file-size", "1k"]) == 0
-    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["mcps"] == 24
+                               "--database-pattern", "^depot$", "--max-file-size", "1k"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["mcps"] == DEPOT_RECORDS
     assert transform_job.main(["--snapshot", snapshot, "--output", second, "--env", "PROD",
-                               "--database-pattern", "^hive$", "--single-file"]) == 0
+                               "--database-pattern", "^depot$", "--single-file"]) == 0
     capsys.readouterr()
     report = os.path.join(scratch, "report")
     assert compare_job.main(["--baseline", first, "--candidate", first, "--exact"]) == 0

@@ -12,7 +12,7 @@ from catrec.plans.transform import transform_snapshot
 from catrec.sinks.snapshot import write_snapshot
 from catrec.sources.jdbc import read_jdbc_tables, validate_table_name
 from catrec.sources.snapshot import read_snapshot, read_table
-from tests.fixtures import create_snapshot, load_record_files
+from tests.fixtures import DEPOT_RECORDS, create_snapshot, load_record_files
 
 
 def read_parts(path):
@@ -94,8 +94,8 @@ def test_round_trip_snapshot_to_records(spark, scratch):
               "PARTITION_KEYS": m.partition_keys, "TABLE_PARAMS": m.table_params}
     root = write_snapshot(spark, tables, scratch, "second", rows_per_file=2)
     output = os.path.join(scratch, "out")
-    summary = transform_snapshot(spark, root, output, CatalogueOptions(env="UAT", database_pattern="^hive$"))
-    assert summary.mcps == 24 == len(load_record_files(output))
+    summary = transform_snapshot(spark, root, output, CatalogueOptions(env="UAT", database_pattern="^depot$"))
+    assert summary.mcps == DEPOT_RECORDS == len(load_record_files(output))
 
 
 def test_jdbc_source_reads_tables(spark, scratch):
