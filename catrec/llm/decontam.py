@@ -173,6 +173,11 @@ def matcher_of(items: tuple[tuple[int, str], ...]) -> Matcher:
     return Matcher(list(items))
 
 
+def null_first(found: tuple[int | None, int]) -> tuple[bool, int]:
+    """Order of (item, distance); items without an id count as one."""
+    return found[0] is not None, found[0] or 0
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(row_, contaminated, items, distances): each row of ``docs`` as a struct, and the items (by id) that it holds."""
     spark = docs.sparkSession
@@ -199,7 +204,7 @@ def match_block(source: DataFrame, shipped, first: bool) -> DataFrame:
             before = ([{}] * chunk.num_rows if first else
                       [dict(zip(a, b, strict=True)) for a, b in zip(chunk.column("items").to_pylist(),
                                                                     chunk.column("distances").to_pylist(), strict=True)])
-            all_found = [sorted({**old, **matcher.find(text)}.items())
+            all_found = [sorted({**old, **matcher.find(text)}.items(), key=null_first)
                          for old, text in zip(before, chunk.column("plain_").to_pylist(), strict=True)]
             added = [pa.array([[i for i, _ in f] for f in all_found], pa.list_(pa.int64())),
                      pa.array([[d for _, d in f] for f in all_found], pa.list_(pa.int32()))]

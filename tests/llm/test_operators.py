@@ -105,6 +105,9 @@ def test_decontamination(spark, docs, empty):
     tests = spark.createDataFrame([(1, item), (2, other), (3, "One two"), (4, None), (5, "..")], "item_id long, text string")
     got = {r["row_"]["doc_id"]: r["items"] for r in decontam.find_items(frame, tests).collect()}
     assert got == {0: [1], 1: [1], 2: [], 3: [], 4: [], 5: [2], 6: [3], 7: []}
+    both = spark.createDataFrame([(9, f"{item} and then {other}")], "doc_id long, text string")
+    nameless = spark.createDataFrame([(None, item), (2, other), (None, prose(rng, 30))], "item_id long, text string")
+    assert [r["items"] for r in decontam.find_items(both, nameless).collect()] == [[None, 2]]
     assert decontam.find_items(empty, tests).count() == 0
     assert not any(r["contaminated"] for r in decontam.find_items(docs, tests.limit(0)).collect())
 
