@@ -30,9 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a local one of our own only where none is set."""
+    """The session's checkpoint folder; one of our own only where none is set and all runs on one machine."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="catrec-", dir="/tmp"))
         configured = spark.sparkContext.getCheckpointDir()
     return configured.rstrip("/")
@@ -150,6 +152,16 @@ def joined_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return stored(moved.union(merged.join(roots, "id", "left_anti").select("id", "root")))
 
 
+def class_leads(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """``groups`` (id, lead, ...) with ``class_lead``, the least lead among the groups under one root of ``roots``."""
+    if roots is None:
+        return groups.withColumn("class_lead", F.col("lead"))
+    rooted = groups.join(roots, "id", "left")
+    least = (rooted.where("root is not null").groupBy("root").agg(F.min("lead").alias("least")))
+    return rooted.join(least, "root", "left").select(
+        *groups.columns, F.coalesce("least", "lead").alias("class_lead"))
+
+
 def hub_links(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
               compare: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     """Classes by the verified links among the members of buckets.

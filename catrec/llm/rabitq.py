@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catrec.llm.common import connected_components, stored, text_key
+from catrec.llm.common import class_leads, connected_components, stored, text_key
 
 THRESHOLD = 0.9
 #: Wished share of the pairs at the threshold that meet in a bucket (above it more do).
@@ -45,6 +45,8 @@ PAIRS = 1 << 17
 #: Standard deviations of the estimate that a pair may lie below the threshold and still be recomputed.
 CONFIDENCE = 5.0
 QUERY_BITS = 4
+#: More tables than this are refused (their rotations would not fit beside a task's work).
+MOST_TABLES = 400
 
 
 @functools.lru_cache(maxsize=8)
@@ -57,7 +59,9 @@ def layout(dims: int, vectors: int, threshold: float) -> tuple[np.ndarray, int,
     rows = np.arange(len(one))
     same = np.mean((top[0] == top[1]) & (np.sign(one[rows, top[0]]) == np.sign(two[rows, top[1]])))
     deep = max(1, round(math.log(max(2.0, vectors / BUCKET_ROWS)) / math.log(2 * dims + 1)))
-    tables = min(400, max(2, math.ceil(math.log(1 - RECALL) / math.log(1 - min(same ** deep, 0.999)))))
+    tables = max(2, math.ceil(math.log(1 - RECALL) / math.log(1 - min(same ** deep, 0.999))))
+    if tables > MOST_TABLES:
+        raise ValueError(f"{vectors} vectors of {dims} dimensions at {threshold} need {tables} tables, over {MOST_TABLES}")
     rotations = np.stack([np.linalg.qr(draw.standard_normal((dims, dims)))[0] for _ in range(tables * deep)])
     return rotations.astype(np.float32), tables, deep
 
@@ -195,9 +199,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
              & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
              & F.exists("vector", lambda x: x != 0))
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
+    # Equal vectors are one group under a number of its own, whatever ids they have.
     groups = stored(rows.where("sound").withColumns(dict(zip(("key_a", "key_b"), text_key(F.col("vector")), strict=True)))
-                    .groupBy("key_a", "key_b").agg(F.min("id").alias("id"), F.count("*").alias("copies"),
-                                                   F.first("vector").alias("vector")))
+                    .groupBy("key_a", "key_b").agg(F.min("id").alias("lead"), F.count("*").alias("copies"),
+                                                   F.first("vector").alias("vector"))
+                    .withColumn("id", F.monotonically_increasing_id()))
     total = groups.count()
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,13 +260,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
                   .mapInArrow(compared, "id long, links long, root long"))
     links = near.groupBy("id").agg(F.sum("links").alias("links"))
     roots = connected_components(near.select("id", "root"), "id", "root")
-    classes = (groups.select("key_a", "key_b", F.col("id").alias("lead"), "copies")
-               .join(links.withColumnRenamed("id", "lead"), "lead", "left")
-               .join(roots.withColumnRenamed("id", "lead"), "lead", "left"))
+    classes = class_leads(groups.select("key_a", "key_b", "id", "lead", "copies"), roots).join(links, "id", "left")
     named = rows.select("id", *[F.when(F.col("sound"), k).alias(n) for n, k in
                                 zip(("key_a", "key_b"), text_key(F.col("vector")), strict=True)])
-    component = F.coalesce("root", "lead", "id")
-    return named.join(classes, ["key_a", "key_b"], "left").select(
+    component = F.coalesce("class_lead", "id")
+    return named.join(classes.drop("id"), ["key_a", "key_b"], "left").select(
         F.col("id").alias(id_column),
         (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("long").alias("n_links"),
         component.alias("component_id"), (F.col("id") == component).alias("kept"))
