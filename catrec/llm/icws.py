@@ -11,7 +11,8 @@ between different classes, in large buckets block by block (see
 
 Cases: equal texts are one class (also texts without a word); a null text is a
 class of its own; texts of fewer than five words have one shingle, all their
-words; the class is the least id in it, which stays; an empty table gives no rows.
+words; the class is the least id in it, which stays; rows of one id
+with unlike texts are documents of their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catrec.llm.common import hub_links, stored, text_chunks, text_key
+from catrec.llm.common import class_leads, hub_links, stored, text_chunks, text_key
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -220,7 +221,11 @@ def shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, class_id, kept) of every row: the least id of its class, and whether it is that one."""
+    """(id, class_id, kept, class_key, key_a, key_b) of every row.
+
+    ``class_id`` is the least id of the class; where ids repeat with unlike texts, ``class_key`` tells classes of
+    one id apart.  ``kept`` marks the row of that id and the class's first text; the keys are those of the row's text.
+    """
     spark = docs.sparkSession
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     idf = spark.sparkContext.broadcast(inverse_frequencies(source))
@@ -242,13 +247,19 @@ def near_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
              zip(("key_a", "key_b"), text_key(F.col("text")), strict=True)]
     signed = stored(source.select("id", *keyed, "text").mapInArrow(
         sign, "id long, key_a long, key_b long, bands array<long>"))
+    # Equal texts are one group under a number of its own, whatever ids they have.
     texts = stored(signed.where("key_a is not null").groupBy("key_a", "key_b").agg(
-        F.min("id").alias("id"), F.first("bands").alias("bands")))
+        F.min("id").alias("lead"), F.first("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()))
     rows = texts.select("id", F.explode("bands").alias("bucket")).distinct()
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     buckets = stored(rows.join(shared, "bucket").select("bucket", "id"))
     wanted = buckets.select("id").distinct()
-    candidates = stored(source.where("text is not null").join(wanted, "id", "left_semi").dropDuplicates(["id"]))
+    # Their texts, from one row of each group: that of its least id.
+    places = texts.join(wanted, "id").select("id", F.col("lead").alias("of"), "key_a", "key_b")
+    keyed_texts = source.where("text is not null").select(F.col("id").alias("of"), *keyed, "text")
+    alike = [keyed_texts[c].eqNullSafe(places[c]) for c in ("of", "key_a", "key_b")]
+    candidates = stored(keyed_texts.join(places, alike[0] & alike[1] & alike[2]).select(
+        places["id"], keyed_texts["text"]).dropDuplicates(["id"]))
 
     def verify(pairs: DataFrame) -> DataFrame:
         sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP_PAIRS).alias("groups"))
@@ -276,11 +287,23 @@ def near_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         return spread.groupBy("bucket", "low", "high").applyInPandas(block_links(idf), "a long, b long")
 
     roots = hub_links(buckets, verify, compare)
-    leads = texts.select("key_a", "key_b", F.col("id").alias("lead"))
-    if roots is not None:
-        leads = leads.join(roots.withColumnRenamed("id", "lead"), "lead", "left")
-    else:
-        leads = leads.withColumn("root", F.lit(None).cast("long"))
-    class_id = F.coalesce("root", "lead", "id")
-    return signed.select("id", "key_a", "key_b").join(leads, ["key_a", "key_b"], "left").select(
-        F.col("id").alias(id_column), class_id.alias("class_id"), F.col("id").eqNullSafe(class_id).alias("kept"))
+    # A class is told by its least id and, as one id may stand on unlike texts, the key of one of its texts.
+    leads = class_leads(texts.select("key_a", "key_b", "id", F.struct("lead", "key_a", "key_b").alias("lead")), roots)
+    named = signed.select("id", "key_a", "key_b").join(leads.drop("id", "lead"), ["key_a", "key_b"], "left")
+    class_id = F.coalesce("class_lead.lead", "id")
+    class_key = F.concat_ws("", *[F.lpad(F.hex(F.col("class_lead")[k]), 16, "0") for k in ("key_a", "key_b")])
+    lead_text = F.coalesce((F.col("class_lead.key_a") == F.col("key_a")) & (F.col("class_lead.key_b") == F.col("key_b")),
+                           F.lit(True))
+    return named.select(
+        F.col("id").alias(id_column), class_id.alias("class_id"),
+        (F.col("id").eqNullSafe(class_id) & lead_text).alias("kept"), class_key.alias("class_key"), "key_a", "key_b")
+
+
+def one_per_class(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: one of each class, by id and text, and one of those that agree in both."""
+    kept = near_classes(docs, id_column, text_column).where("kept").select(
+        F.col(id_column).alias("kept_id"), F.col("key_a").alias("kept_a"), F.col("key_b").alias("kept_b")).distinct()
+    keys = [F.when(F.col(text_column).isNotNull(), k) for k in text_key(F.col(text_column))]
+    same = (F.col(id_column).cast("long").eqNullSafe(F.col("kept_id")) & keys[0].eqNullSafe(F.col("kept_a"))
+            & keys[1].eqNullSafe(F.col("kept_b")))
+    return docs.join(kept, same, "left_semi").dropDuplicates([id_column, text_column])

@@ -59,7 +59,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return icws.near_classes(table(spark, sf_dir, "documents"))
+    return icws.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept", "class_key")
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
