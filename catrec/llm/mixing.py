@@ -81,10 +81,12 @@ def balance(targets: DataFrame) -> DataFrame:
             off = state.agg(F.max(F.when(live, F.abs(held - F.col("target")) / F.col("target")))).first()[0]
             if off is None or off < TOLERANCE:
                 break
+    else:
+        raise ArithmeticError(f"the Newton iteration did not come within {TOLERANCE} of the targets in {NEWTON_STEPS} steps")
     return state.withColumn("rate", F.when(live, F.exp("multiplier")).otherwise(F.lit(0.0))).drop("multiplier")
 
 
-def round_copies(rated: DataFrame) -> DataFrame:
+def round_copies(rated: DataFrame, keys: list[str]) -> DataFrame:
     """Whole ``copies`` for rows with ``source``, ``group``, ``size``, ``rate``: error diffusion, large documents first.
 
     Each group (of bounded expected size) carries its own error, which ends
@@ -109,21 +111,43 @@ def round_copies(rated: DataFrame) -> DataFrame:
                 copies.append(n)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(copies, pa.int32())], names=[*names, "copies"])
 
-    order = [F.col("source"), F.col("group"), F.col("size").desc(), F.xxhash64("id"), F.col("id")]
+    order = [F.col("source"), F.col("group"), F.col("size").desc(), F.xxhash64("id", *keys), F.col("id"), *keys]
     return rated.repartition("source", "group").sortWithinPartitions(*order).mapInArrow(diffuse, schema)
 
 
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0,
-        id_column: str = "doc_id") -> DataFrame:
-    """(id, source, size, source_size, target, rate, copies, taken) of every document; ``most`` is a whole number."""
-    sizes = stored(docs.select(F.col(id_column).alias("id"), "source", word_count(F.col("text")).alias("size")))
+        id_column: str = "doc_id", row_key: bool = False) -> DataFrame:
+    """(id, source, size, source_size, target, rate, copies, taken) of every document; ``most`` is a whole number.
+
+    Rows are told apart by id and text; ``row_key`` adds the key of the whole row (row_a, row_b).
+    """
+    keys = ["row_a", "row_b"] if row_key else ["text_key"]
+    told = row_keys(docs) if row_key else [F.xxhash64("text").alias("text_key")]
+    sizes = stored(docs.select(F.col(id_column).alias("id"), "source", word_count(F.col("text")).alias("size"), *told))
     rates = stored(balance(source_targets(sizes, weights, share, most)))
     groups = F.greatest(F.lit(1), F.ceil(F.col("rows") / GROUP_ROWS)).cast("long")
     rated = (sizes.join(rates.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-             .withColumn("group", F.pmod(F.xxhash64(F.lit("mix"), "id"), groups)).drop("of", "rows"))
+             .withColumn("group", F.pmod(F.xxhash64(F.lit("mix"), "id", *keys), groups)).drop("of", "rows"))
     # A rate above the bound by rounding error is the bound.
     rated = rated.withColumn("rate", F.least(F.col("rate"), F.lit(float(most))))
     snapped = F.when(F.abs(F.col("rate") - F.round("rate")) < 1e-9, F.round("rate")).otherwise(F.col("rate"))
-    return round_copies(rated.withColumn("rate", snapped)).select(
+    return round_copies(rated.withColumn("rate", snapped), keys).select(
         F.col("id").alias(id_column), "source", "size", "source_size", "target", "rate", "copies",
-        (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"), *(keys if row_key else []))
+
+
+def row_keys(docs: DataFrame) -> list[Column]:
+    """128 bits (row_a, row_b) that stand for a whole row, nulls included."""
+    values = [F.col(f"`{c}`") for c in docs.columns]
+    parts = [*values, *[v.isNull() for v in values]]
+    return [F.xxhash64(*parts).alias("row_a"), F.xxhash64(F.lit("second"), *parts).alias("row_b")]
+
+
+def mixed_rows(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0,
+               id_column: str = "doc_id") -> DataFrame:
+    """The rows of the mix, each as often as it is taken; rows alike in all columns share their copies."""
+    mixed = mix(docs, weights, share, most, id_column, row_key=True)
+    taken = mixed.groupBy("row_a", "row_b").agg(F.sum("copies").alias("copies_")).where("copies_ > 0")
+    once = docs.select("*", *row_keys(docs)).dropDuplicates(["row_a", "row_b"])
+    return (once.join(taken, ["row_a", "row_b"])
+            .withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies_")))).select(*docs.columns))
