@@ -5,8 +5,10 @@ spaces.  An item of up to 30 words, and each window of 20 words (one at every wo
 of an item of more than 20, may be met with one edit per 16 characters.  An item is
 cut into one piece more than that, the item of windows into a grid of pieces so short
 that each window holds one piece more than its edits; so some piece must stand exactly
-in any text that holds it.  An automaton finds all pieces in one pass over a text, and
-Myers' bit-parallel distance verifies the surroundings of each hit.  In scripts without
+in any text that holds it.  An automaton finds all pieces in one pass over a text.  Of an
+item's or window's grams of four characters each edit destroys four at most; hits whose
+surroundings lack more are left out, and Myers' bit-parallel distance verifies the others,
+so that the distance reported is the least of the item or its windows in the text.  In scripts without
 spaces two characters count as a word.
 
 The test items are taken in blocks of bounded bytes, each broadcast and run
@@ -23,6 +25,7 @@ import functools
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,6 +39,8 @@ WHOLE_WORDS = 30
 WINDOW_WORDS = 20
 #: Characters of a grid piece, at most.
 PIECE_CHARS = 13
+#: Characters of the grams that are counted before a hit's surroundings are verified.
+GRAM = 4
 #: Windows that a task holds ready.
 READY = 4096
 # Thai and Lao, Tibetan, Burmese, Khmer, Kana and Han stand without spaces.
@@ -49,6 +54,10 @@ def plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
 
 
+def grams(text: str) -> set[str]:
+    return {text[i:i + GRAM] for i in range(len(text) - GRAM + 1)}
+
+
 class Grid:
     """An item's windows (starts, ends) and the pieces that they share."""
 
@@ -61,6 +70,18 @@ class Grid:
         self.size = next(size for size in range(PIECE_CHARS, 0, -1)
                          if all((n - size + 1) // size > n // EDIT_CHARS for n in lengths))
 
+    def near(self, text: str, start: int, offset: int) -> list[int]:
+        """The windows on this diagonal that hold the piece and keep enough grams for their budget."""
+        held = self.holding(offset)
+        if not held:
+            return []
+        first, last = self.starts[held[0]], self.ends[held[-1]]
+        most = (last - first) // EDIT_CHARS
+        present = grams(text[max(0, start + first - most):start + last + most])
+        lost = list(accumulate((self.text[i:i + GRAM] not in present for i in range(first, last - GRAM + 1)), initial=0))
+        return [at for at in held if lost[self.ends[at] - GRAM + 1 - first] - lost[self.starts[at] - first]
+                <= GRAM * ((self.ends[at] - self.starts[at]) // EDIT_CHARS)]
+
     def pieces(self) -> list[tuple[int, str]]:
         return [(i, self.text[i:i + self.size]) for i in range(0, len(self.text) - self.size + 1, self.size)]
 
@@ -84,6 +105,15 @@ class Pattern:
         cuts = [self.length * i // n for i in range(n + 1)]
         return [(a, self.text[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
+    def lost(self, text: str, start: int) -> int:
+        """Grams of the pattern that its surroundings in a text don't hold; each edit destroys at most GRAM of them."""
+        present = grams(text[max(0, start - self.budget):start + self.length + self.budget])
+        return sum(gram not in present for gram in self.grams)
+
+    @functools.cached_property
+    def grams(self) -> list[str]:
+        return [self.text[i:i + GRAM] for i in range(self.length - GRAM + 1)]
+
     def distance(self, region: str) -> int:
         """Least edits between the pattern and any part of the region."""
         if self.text in region:
@@ -141,24 +171,31 @@ class Matcher:
         found = dict.fromkeys(self.short.get(text, ()), 0)
         if not len(self.automaton):
             return found
-        done, tried = set(), set()
+        tried, verified = set(), set()
         for end, (length, places) in self.automaton.iter(text):
             for number, offset in places:
                 source = self.sources[number]
                 if found.get(source.item) == 0:
                     continue
                 whole = isinstance(source, Pattern)
-                for at in (0,) if whole else source.holding(offset):
-                    start = end - length + 1 - offset + (0 if whole else source.starts[at])
-                    if (number, at) in done or (number, at, start) in tried:
-                        continue
-                    tried.add((number, at, start))
+                # Where the item begins in the text if nothing before the piece differs.
+                start = end - length + 1 - offset
+                if (number, start, 0 if whole else offset) in tried:
+                    continue
+                tried.add((number, start, 0 if whole else offset))
+                for at in (0,) if whole else source.near(text, start, offset):
                     pattern = source if whole else self.window(number, at)
-                    region = text[max(0, start - pattern.budget):start + pattern.length + pattern.budget]
-                    distance = pattern.distance(region)
-                    if distance <= pattern.budget:
-                        done.add((number, at))
-                        found[source.item] = min(distance, found.get(source.item, distance))
+                    first = start + (0 if whole else source.starts[at])
+                    if not whole:
+                        if (number, at, first) in verified:
+                            continue
+                        verified.add((number, at, first))
+                    best = min(pattern.budget, found.get(source.item, pattern.length) - 1)
+                    if whole and source.lost(text, start) > GRAM * best:
+                        continue
+                    distance = pattern.distance(text[max(0, first - pattern.budget):first + pattern.length + pattern.budget])
+                    if distance <= best:
+                        found[source.item] = distance
                         if distance == 0:
                             break
         return found
