@@ -6,8 +6,12 @@ distinct host edges, thresholded per host.  Everything is DataFrame functions.
 
 Edges are the absolute (or scheme-relative) links of a page's HTML, and each
 host is tied both ways to its parent domains below the public suffix, which are
-nodes whether a page has them as host or not, so that sibling hosts are linked.
-A host is a seed if the rules decide more than half of its pages one way.
+nodes whether a page has them as host or not, so that sibling hosts are linked;
+a host passes up little of what it has, and a parent deals it equally to the hosts
+below it, so that a share of bad siblings counts, not one among many.  A host is a
+seed if the rules decide more than half of its pages one way, with the share of its
+pages so ruled as mass.  A host's pages without a rule are blocked if its distrust is
+above its trust and above a floor, in units of wholly ruled-out hosts.
 
 Cases: a url that is null or has no ``://`` has an empty host and path and no
 rule; null HTML has no links; ties between trust and distrust allow; repeated
@@ -28,6 +32,10 @@ TOLERANCE = 1e-6
 STEPS = 6
 #: Distrust that blocks a host, against its trust plus distrust.
 BLOCK_SHARE = 0.5
+#: Distrust that blocks is over this, where a host with all pages ruled out brings in one.
+FLOOR = 0.0045
+#: Rank that a host passes up to a parent domain, against a link's.
+TIE_WEIGHT = 0.03
 #: Edges of a graph that one task holds.
 SMALL_EDGES = 200_000
 #: Names of two labels under which anybody registers (one label always is a suffix).
@@ -78,20 +86,33 @@ def parent_edges(hosts: DataFrame) -> DataFrame:
     return up.union(up.select("dst", "src"))
 
 
+def weighted_ties(ties: DataFrame) -> DataFrame:
+    """``ties`` between hosts and parents with the weights that trust (along) and distrust (back) pass by."""
+    up = F.length("src") > F.length("dst")
+    below = ties.where(up).groupBy(F.col("dst").alias("parent")).agg((1 / F.count("*")).alias("share"))
+    named = ties.withColumn("parent", F.when(up, F.col("dst")).otherwise(F.col("src"))).join(below, "parent")
+    return named.select("src", "dst", F.when(up, F.lit(TIE_WEIGHT)).otherwise(F.col("share")).alias("along"),
+                        F.when(up, F.col("share")).otherwise(F.lit(TIE_WEIGHT)).alias("back"))
+
+
 def propagate(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(host, trust, distrust): two personalised PageRanks, one along and one against the edges.
 
-    ``seeds`` (kind, host, mass) with kind ``trust`` or ``distrust``.  Ranks grow
+    ``seeds`` (kind, host, mass) with kind ``trust`` or ``distrust``; ``edges`` (src, dst) may have
+    weights for trust (``along``) and distrust (``back``).  A node shares its rank by weight; weights that sum
+    to less than one pass on that much.  Ranks grow
     from the seeds' shares, so the L1 change of a round is that of their sums; rounds
     end when it is below the tolerance and no further host was reached.  The ranks
     of a kind are then scaled to one, which returns the mass of nodes without way
-    out to the seeds.
+    out, and what weak edges hold back, to the seeds.
     """
-    flows = edges.select(F.lit("trust").alias("kind"), "src", "dst").union(
-        edges.select(F.lit("distrust"), F.col("dst"), F.col("src")))
-    degree = flows.groupBy("kind", "src").agg(F.count("*").alias("degree"))
+    along, back = (F.col(c) if c in edges.columns else F.lit(1.0) for c in ("along", "back"))
+    flows = edges.select(F.lit("trust").alias("kind"), "src", "dst", along.alias("weight")).union(
+        edges.select(F.lit("distrust"), F.col("dst"), F.col("src"), back))
+    degree = flows.groupBy("kind", "src").agg(F.greatest(F.lit(1.0), F.sum("weight")).alias("degree"))
     # Adaptive execution splits a hub's edges in this join and those of the steps; sums combine map-side.
-    flows = stored(flows.join(degree, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", "degree"))
+    flows = stored(flows.join(degree, ["kind", "src"]).select(
+        "kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("degree")).alias("passes")))
     # Measured: a graph that one task can hold takes one task a step.
     small = flows.limit(SMALL_EDGES + 1).count() <= SMALL_EDGES
     if small:
@@ -104,7 +125,7 @@ def propagate(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     while True:
         for _ in range(STEPS):
             passed = ranks.join(flows, ["kind", "host"]).select(
-                "kind", F.col("dst").alias("host"), (F.col("rank") * DAMPING / F.col("degree")).alias("rank"))
+                "kind", F.col("dst").alias("host"), (F.col("rank") * DAMPING * F.col("passes")).alias("rank"))
             ranks = passed.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
             ranks = ranks.coalesce(1) if small else ranks
         ranks = stored(ranks)
@@ -131,15 +152,18 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], id_column: str = "page
     hosts = stored(ruled.where("host <> ''").groupBy("host").agg(
         F.count("*").alias("pages"), F.count(F.when(F.col("ruled") == "allow", 1)).alias("allowed"),
         F.count(F.when(F.col("ruled") == "block", 1)).alias("blocked")))
-    edges = stored(host_edges(parted).union(parent_edges(hosts.select("host"))).distinct())
+    edges = stored(host_edges(parted).select("src", "dst", F.lit(1.0).alias("along"), F.lit(1.0).alias("back"))
+                   .union(weighted_ties(parent_edges(hosts.select("host"))))
+                   .groupBy("src", "dst").agg(F.max("along").alias("along"), F.max("back").alias("back")))
     seeds = hosts.select(F.when(F.col("allowed") * 2 > F.col("pages"), F.lit("trust"))
-                         .when(F.col("blocked") * 2 > F.col("pages"), F.lit("distrust")).alias("kind"),
-                         "host", F.lit(1.0).alias("mass")).where("kind is not null")
+                         .when(F.col("blocked") * 2 > F.col("pages"), F.lit("distrust")).alias("kind"), "host",
+                         (F.greatest("allowed", "blocked") / F.col("pages")).alias("mass")).where("kind is not null")
+    ruled_out = seeds.where("kind = 'distrust'").agg(F.coalesce(F.sum("mass"), F.lit(0.0))).first()[0]
     ranks = propagate(edges, seeds)
     # One row per host, so that the pages of a hot host meet one row each.
     scored = stored(hosts.select("host").join(ranks, "host", "left").select(
         "host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")))
-    bad = (F.col("distrust") > 0) & (F.col("distrust") > BLOCK_SHARE * (F.col("trust") + F.col("distrust")))
+    bad = (F.col("distrust") * F.lit(float(ruled_out)) > FLOOR) & (F.col("distrust") > BLOCK_SHARE * (F.col("trust") + F.col("distrust")))
     return ruled.join(scored, "host", "left").select(
         F.col("id").alias(id_column), "host", "path", "rule",
         F.coalesce("ruled", F.when(bad, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
