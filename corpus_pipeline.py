@@ -29,9 +29,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = icws.near_classes(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    stay = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"])
+    return icws.one_per_class(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +38,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(docs, MIX_WEIGHTS).where("copies > 0").select(
-        F.col("doc_id").alias("mixed_id"), "copies").dropDuplicates(["mixed_id"])
-    chosen = docs.join(mixed, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-    return chosen.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return mixing.mixed_rows(docs, MIX_WEIGHTS)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
