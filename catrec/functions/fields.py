@@ -40,8 +40,7 @@ def _starts_with_any(lowered: Column, prefixes: tuple[str, ...]) -> Column:
     return cond
 
 
-def _first_match(native_type: Column, rules, default: str) -> Column:
-    lowered = F.lower(native_type)
+def _first_match(lowered: Column, rules, default: str) -> Column:
     expr = None
     for prefixes, value in rules:
         cond = _starts_with_any(lowered, prefixes)
@@ -51,18 +50,25 @@ def _first_match(native_type: Column, rules, default: str) -> Column:
 
 def type_class(native_type: Column) -> Column:
     """Short class name, e.g. ``NumberType``."""
-    return _first_match(native_type, TYPE_CLASS_RULES, DEFAULT_TYPE_CLASS)
+    return _type_class(F.lower(native_type))
 
 
-def schema_type(native_type: Column) -> Column:
+def _type_class(lowered: Column) -> Column:
+    return _first_match(lowered, TYPE_CLASS_RULES, DEFAULT_TYPE_CLASS)
+
+
+def schema_type(class_name: Column) -> Column:
     """``{"type": {"<package>.<Class>": {}}}`` as a struct column."""
     empty = F.create_map().cast("map<string,string>")
-    return F.struct(F.create_map(F.concat(F.lit(SCHEMA_TYPE_PREFIX), type_class(native_type)), empty).alias("type"))
+    return F.struct(F.create_map(F.concat(F.lit(SCHEMA_TYPE_PREFIX), class_name), empty).alias("type"))
 
 
 def json_props(native_type: Column) -> Column:
     """Logical-type document for ``decimal(p,s)`` and dates, else null."""
-    lowered = F.lower(native_type)
+    return _json_props(F.lower(native_type))
+
+
+def _json_props(lowered: Column) -> Column:
     precision = F.regexp_extract(lowered, DECIMAL_PATTERN, 1)
     scale = F.regexp_extract(lowered, DECIMAL_PATTERN, 2)
     return (
@@ -76,24 +82,35 @@ def json_props(native_type: Column) -> Column:
 
 
 def field_path_type(native_type: Column) -> Column:
-    return _first_match(native_type, FIELD_PATH_RULES, DEFAULT_FIELD_PATH_TYPE)
+    return _first_match(F.lower(native_type), FIELD_PATH_RULES, DEFAULT_FIELD_PATH_TYPE)
 
 
 def field_path(name: Column, native_type: Column) -> Column:
     """Version-2 field path ``[version=2.0].[type=<avro>].<name>``."""
-    return F.concat(F.lit("[version=2.0].[type="), field_path_type(native_type), F.lit("]."), name)
+    return _field_path(name, field_path_type(native_type))
+
+
+def _field_path(name: Column, avro_type: Column) -> Column:
+    return F.concat(F.lit("[version=2.0].[type="), avro_type, F.lit("]."), name)
+
+
+def classified(name: Column, lowered: Column) -> list[Column]:
+    """``PATH``, ``CLASS`` and ``PROPS``: what a schema field derives from its name and its type in lower case."""
+    avro_type = _first_match(lowered, FIELD_PATH_RULES, DEFAULT_FIELD_PATH_TYPE)
+    return [_field_path(name, avro_type).alias("PATH"), _type_class(lowered).alias("CLASS"), _json_props(lowered).alias("PROPS")]
 
 
-def schema_field(name: Column, native_type: Column, description: Column, is_partition: Column) -> Column:
-    """One entry of ``schemaMetadata.fields``; null members vanish in ``to_json``."""
+def schema_field(native_type: Column, description: Column, is_partition: Column,
+                 path: Column, class_name: Column, props: Column) -> Column:
+    """One entry of ``schemaMetadata.fields`` of what :func:`classified` found; null members vanish in ``to_json``."""
     return F.struct(
-        field_path(name, native_type).alias("fieldPath"),
+        path.alias("fieldPath"),
         native_type.alias("nativeDataType"),
-        schema_type(native_type).alias("type"),
+        schema_type(class_name).alias("type"),
         F.coalesce(description, F.lit("")).alias("description"),
         F.lit(True).alias("nullable"),
         F.lit(False).alias("recursive"),
         F.lit(False).alias("isPartOfKey"),
         F.when(is_partition, F.lit(True)).alias("isPartitioningKey"),
-        json_props(native_type).alias("jsonProps"),
+        props.alias("jsonProps"),
     )
