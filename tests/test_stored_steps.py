@@ -1,0 +1,66 @@
+"""Steps that must store or parse their rows once."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from catrec.operators.events import catalogue_events
+from catrec.operators.reconcile import diff_records
+from catrec.options import CatalogueOptions
+from catrec.plans.compare import LISTING_ORDER, numbered_rows
+from catrec.plans.materialize import materialize
+from catrec.sources.snapshot import read_snapshot
+from tests.fixtures import create_snapshot
+from tests.test_reconcile import URN, frame, plan_of, rec, rows, summary
+
+
+def test_stored_rows_are_files_and_not_cached(spark):
+    df = spark.range(5).select("id", F.struct(F.lit("x").alias("file"), F.col("id").alias("row")).alias("ord"))
+    stored = materialize(df)
+    assert stored.inputFiles() and "InMemoryRelation" not in plan_of(stored)
+    assert stored.dtypes == df.dtypes and sorted(r["id"] for r in stored.collect()) == list(range(5))
+
+
+def test_pairs_are_read_not_joined(spark):
+    """Equal keys, keys whose texts are unlike but whose documents are equal, unequal, one-sided and conflicting ones."""
+    left = [rec("status", {"n": 1}), rec("subTypes", {"typeNames": ["a", "b"]}), rec("viewProperties", {"v": 1}),
+            rec("ownership", {"owners": []}), rec("status", {"n": 1}, URN + "2"), rec("status", {"n": 2}, URN + "2")]
+    right = [rec("status", {"n": 1}), rec("subTypes", {"typeNames": ["b", "a"]}), rec("viewProperties", {"v": 2}),
+             rec("status", {"n": 2}, URN + "2"), rec("container", {"container": "c"})]
+    diff = diff_records(frame(spark, left), frame(spark, right))
+    assert "Join" not in plan_of(diff.summary) and "InMemoryRelation" not in plan_of(diff.summary)
+    assert summary(diff) == {
+        "baseline_aspects": 5, "candidate_aspects": 5, "missing_in_candidate": 1, "extra_in_candidate": 1,
+        "different_aspects": 1, "baseline_duplicates": 1, "candidate_duplicates": 0, "equal": False}
+    assert rows(diff.differences, "aspect", "path", "expected", "actual") == [("viewProperties", "v", "1", "2")]
+    diff.release()
+
+
+def test_records_are_parsed_in_no_filter(spark):
+    bundle = {"proposedSnapshot": {"x.DatasetSnapshot": {"urn": URN, "aspects": [{"x.Status": {"removed": True}}]}}}
+    empty = {"proposedSnapshot": {"x.DatasetSnapshot": {"urn": URN, "aspects": []}}}
+    found = frame(spark, [bundle, empty, rec("status", {"removed": False})])
+    assert not [line for line in plan_of(found).splitlines() if "Filter" in line and "from_json" in line]
+    assert [json.loads(r["aspect"]) for r in found.orderBy("ord").collect()] == [{"removed": True}, {"removed": False}]
+
+
+def test_listings_are_worked_out_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        calls.add(1)
+        return text
+
+    listing = spark.range(0, 40, 1, 4).select(
+        F.lit("missing").alias("kind"), F.lit(None).cast("string").alias("side"),
+        F.udf(counted, "string")(F.format_string("e%02d", "id")).alias("entity"), F.lit("a").alias("aspect"),
+        F.lit(None).cast("string").alias("path"))
+    out = numbered_rows(listing).select(*LISTING_ORDER, "position").collect()
+    assert sorted((r["position"], r["entity"]) for r in out) == [(i + 1, f"e{i:02d}") for i in range(40)]
+    assert calls.value == 40
+
+
+def test_records_are_built_outside_the_generator_and_once(spark, scratch):
+    events = catalogue_events(spark, read_snapshot(spark, create_snapshot(f"{scratch}/snap")), CatalogueOptions(env="UAT"))
+    lines = plan_of(events).splitlines()
+    assert not [line for line in lines if ("Generate" in line or "Filter" in line) and "datasetProperties" in line]
